@@ -12,6 +12,7 @@ from ordergate.operators.metrics import FAILED
 from ordergate.operators.references import declared_checks
 from ordergate.plans.pipeline import STATUS_COLUMNS, Run, TableResult, record, run_table
 from ordergate.registry import BATCH_FILES, TABLES, declared_references
+from ordergate.session import local_frame
 from ordergate.sources.files import batch_files
 from ordergate.sources.ledger import ledger_rows
 
@@ -22,8 +23,8 @@ def _without_work(run: Run, found: DataFrame, touched: DataFrame, batch_dir: str
     """Manifest entries that had nothing to do: loaded before, or not delivered."""
     done = found.join(touched.select("_file"), "_file", "left_anti").select(
         "table_name", "slot", "_file", F.lit(ALREADY).alias("status"))
-    manifest = run.spark.createDataFrame(
-        [(t, f"{batch_dir}/{run.run_date}/{f}") for t, f, _ in BATCH_FILES], "table_name string, _file string")
+    manifest = local_frame(
+        run.spark, [(t, f"{batch_dir}/{run.run_date}/{f}") for t, f, _ in BATCH_FILES], "table_name string, _file string")
     absent = manifest.join(found.select("table_name").distinct(), "table_name", "left_anti").select(
         "table_name", F.lit("").alias("slot"), "_file", F.lit(FAILED).alias("status"),
         F.concat(F.lit("File not found: "), "_file").alias("error"))
@@ -69,7 +70,7 @@ def run_batch(
             results = [r for r in pool.map(load, wave) if r is not None]
             record(run, results)
             statuses += [r.status for r in results]
-    nothing = run.spark.createDataFrame([], STATUS_COLUMNS)
+    nothing = local_frame(run.spark, [], STATUS_COLUMNS)
     worked = reduce(DataFrame.unionByName, statuses, nothing)
     idle = _fill(_without_work(run, found, worked, batch_dir).where(F.col("table_name").isin(*formats)))
     absent = idle.where(F.col("status") == FAILED)

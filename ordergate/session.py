@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -31,3 +34,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     if not shared:
         return tempfile.mkdtemp(prefix=f"ordergate-{name}-")
     return f"{shared.rstrip('/')}/ordergate-{name}-{uuid.uuid4().hex}"
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few driver-side rows (file names, table metadata) as a local relation.
+
+    Being part of the plan, it costs no job, and an empty one folds away.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)

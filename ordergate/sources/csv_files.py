@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ordergate.functions.coerce import csv_missing_to_null
 from ordergate.registry import TableSpec
+from ordergate.session import local_frame
 
 _RAW, _EXTRA = "_raw_line", "_extra_field"
 
@@ -112,6 +113,6 @@ def read_csv(spark: SparkSession, files: list, spec: TableSpec, check_columns: b
     ]
     if not scans:
         fields = ", ".join(f"{c} string" for c in spec.column_names)
-        return spark.createDataFrame(
-            [], f"_file string, _order struct<block: bigint, row: bigint>, {fields}")
+        return local_frame(
+            spark, [], f"_file string, _order struct<block: bigint, row: bigint>, {fields}")
     return reduce(DataFrame.unionByName, scans)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordergate.registry import BATCH_FILES, STREAM_FILES
+from ordergate.session import local_frame
 
 # Up to this size a file's content is hashed and inspected as one value; larger
 # files are inspected line by line, in parallel, and known by size and time.
@@ -22,7 +23,7 @@ FILE_COLUMNS = (
 
 
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return local_frame(spark, [], schema)
 
 
 def list_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
@@ -43,7 +44,7 @@ def list_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
     # The index spells local paths with three slashes, the scan with one.
     names = [re.sub("^file:/+", "file:/", name) for name in found.inputFiles()]
     names = [(name, unquote(name)) for name in names]
-    index = spark.createDataFrame(names, "_file string, path string")
+    index = local_frame(spark, names, "_file string, path string")
     return listed.unionByName(index.join(listed, "_file", "left_anti").select(
         "_file", "path", F.lit(0).cast("bigint").alias("length"),
         F.lit(None).cast("timestamp").alias("modified"),

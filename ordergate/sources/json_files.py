@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordergate.registry import TableSpec
+from ordergate.session import local_frame
 
 
 # Marks the one row that stands for a file holding an empty array.
@@ -40,8 +41,8 @@ def read_json(spark: SparkSession, paths: list[str], spec: TableSpec, check_colu
     fields = spec.column_names
     if not paths:
         columns = ", ".join(f"{c} string" for c in fields)
-        return spark.createDataFrame(
-            [], f"_file string, _order struct<block: bigint, row: bigint>, {columns}, _error string")
+        return local_frame(
+            spark, [], f"_file string, _order struct<block: bigint, row: bigint>, {columns}, _error string")
     files = (
         spark.read.option("singleVariantColumn", "v").option("multiLine", True)
         .option("mode", "PERMISSIVE").json(paths)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ordergate.operators.merge import last_per_key, merge
 from ordergate.registry import QUALITY_LOG_SCHEMA, TableSpec, table
+from ordergate.session import local_frame
 from ordergate.sources.ledger import LEDGER_SCHEMA
 
 _LOG = "generation bigint, part string, folder string, replaces boolean"
@@ -57,7 +58,7 @@ class Warehouse:
         """Rows of the given parts, with their ``part``."""
         paths = sorted(f"{f}/part={part}" for part, where in folders.items() for f in where)
         if not paths:
-            empty = self.spark.createDataFrame([], schema)
+            empty = local_frame(self.spark, [], schema)
             return empty.withColumn("part", F.lit(None).cast("string"))
         full = T.StructType([
             *schema, T.StructField("g", T.StringType()), T.StructField("part", T.StringType())])
@@ -84,7 +85,7 @@ class Warehouse:
         except AnalysisException as missing:
             if "PATH_NOT_FOUND" not in str(missing):
                 raise
-            return self.spark.createDataFrame([], QUALITY_LOG_SCHEMA)
+            return local_frame(self.spark, [], QUALITY_LOG_SCHEMA)
 
     # Writing ---------------------------------------------------------------
 
@@ -139,7 +140,7 @@ class Warehouse:
             for part in touched | written
         ]
         if entries:
-            log = self.spark.createDataFrame(entries, _LOG).coalesce(1)
+            log = local_frame(self.spark, entries, _LOG).coalesce(1)
             log.write.mode("append").parquet(f"{self.root}/{name}/log")
 
     def _written(self, folder: str) -> set[str]:
