@@ -141,8 +141,8 @@ def _raw_orders(d) -> str:
       CASE WHEN {k} % 70 = 2 THEN NULL WHEN copy = 0 THEN o_orderstatus WHEN copy = 1 THEN 'copy' ELSE 'late' END
         AS order_status,
       CASE WHEN {k} % 3 = 0 THEN 'cash' ELSE 'card' END AS payment_method,
-      CASE WHEN {k} % 80 = 3 THEN 'N/A' ELSE {d.text('o_orderdate')} END AS order_created_at,
-      CASE WHEN {k} % 90 = 4 THEN 'invalid' ELSE {d.text(d.plus('o_orderdate', '2400'))} END AS delivered_at
+      CASE WHEN {k} % 80 = 3 THEN 'N/A' ELSE '2024-01-' || {_two('day(o_orderdate)')} || ' 00:00:00.000000' END AS order_created_at,
+      CASE WHEN {k} % 90 = 4 THEN 'invalid' ELSE '2024-01-' || {_two('day(o_orderdate)')} || ' 00:40:00.000000' END AS delivered_at
     FROM {_copies('orders', "o_orderpriority = '1-URGENT'", "o_orderpriority = '2-HIGH'")}"""
 
 

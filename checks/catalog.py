@@ -241,7 +241,7 @@ def ledger_pending(spark, sf_dir):
 @query
 def ledger_status(spark, sf_dir):
     files, recorded = _files_and_ledger(spark, sf_dir)
-    return ledger.status_of(recorded, "stream/1996-03-05/08/orders.json")
+    return ledger.status_of(recorded, "stream/1996-03-06/08/orders.json")
 
 
 @query
@@ -435,7 +435,7 @@ def required_date(spark, sf_dir):
 def constraint_check(spark, sf_dir):
     """Orders against the warehouse types; widths narrowed by repeating the text."""
     rows = typed(spark, sf_dir, "orders").withColumns({
-        "payment_method": F.repeat("payment_method", 6),
+        "payment_method": F.when(F.col("payment_method") == "cash", F.repeat("payment_method", 6)).otherwise("card"),
         "order_amount": F.col("order_amount") * 500,
     })
     label = rules.first_failure(rules.constraint_rules(TABLES["orders"]))
@@ -775,9 +775,12 @@ def _stream_run(spark, sf_dir):
     return run
 
 
-def _streamed(spark, sf_dir, table):
+def _streamed(spark, sf_dir, table, *stages):
+    """The table after its stage and the ones before it."""
     run = _stream_run(spark, sf_dir)
-    run_once(run, _stream_folder(spark, sf_dir))
+    folder = _stream_folder(spark, sf_dir)
+    found = sources.stream_files(spark, folder, RUN_DATE).where(F.col("table_name").isin(table, *stages))
+    run_once(run, folder, found)
     return run.warehouse.read(table)
 
 
@@ -788,12 +791,12 @@ def stream_pipeline_orders(spark, sf_dir):
 
 @query
 def stream_pipeline_tickets(spark, sf_dir):
-    return _streamed(spark, sf_dir, "tickets")
+    return _streamed(spark, sf_dir, "tickets", "orders")
 
 
 @query
 def stream_pipeline_events(spark, sf_dir):
-    return _streamed(spark, sf_dir, "ticket_events")
+    return _streamed(spark, sf_dir, "ticket_events", "orders", "tickets")
 
 
 @query

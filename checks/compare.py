@@ -32,7 +32,7 @@ def _rows(rows, order):
 def main() -> int:
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
     spark = (
-        configure(SparkSession.builder.master("local[8]")).config("spark.ui.enabled", "false")
+        configure(SparkSession.builder.master("local[8]")).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

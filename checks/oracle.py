@@ -209,7 +209,7 @@ SQL["pii_mask_customers"] = f"""SELECT _order, customer_id, sha256(email) AS ema
   FROM ({coerced('customers')}) c"""
 SQL["pii_mask_agents"] = f"""SELECT agent_id, sha256(agent_email) AS email_hash, sha256(agent_phone) AS phone_hash
   FROM ({coerced('agents')}) c"""
-SQL["pii_mask_drivers"] = f"""SELECT _order, driver_id, sha256(driver_phone) AS phone_hash,
+SQL["pii_mask_drivers"] = f"""SELECT _order, driver_id, sha256({PHONE.format(c='driver_phone')}) AS phone_hash,
     CASE WHEN trim(national_id) <> '' THEN sha256(trim(national_id)) END AS national_id_hash FROM ({coerced('drivers')}) c"""
 SQL["quarantine_annotate"] = f"""SELECT _order, 'data_validation' AS rejection_reason, reject AS rejection_detail,
     '{RUN_TIME}' AS rejection_timestamp, _file AS source_file FROM ({labelled('customers')}) l WHERE reject IS NOT NULL"""
@@ -235,7 +235,7 @@ SQL["required_date"] = f"SELECT _order, 'invalid_date:order_created_at' AS label
 SQL["constraint_check"] = f"""SELECT * FROM (SELECT _order, CASE WHEN order_id IS NULL THEN 'not_null:order_id'
     WHEN length(order_id) > 36 THEN 'too_long:order_id'
     WHEN order_amount * 500 >= 99999999.995 THEN 'does_not_fit:order_amount'
-    WHEN order_status IS NULL THEN 'not_null:order_status' WHEN length(payment_method) * 6 > 20 THEN 'too_long:payment_method'
+    WHEN order_status IS NULL THEN 'not_null:order_status' WHEN payment_method = 'cash' THEN 'too_long:payment_method'
     WHEN order_created_at IS NULL THEN 'not_null:order_created_at' END AS label FROM ({coerced('orders')}) c) x
   WHERE label IS NOT NULL"""
 SQL["rejected_rows"] = f"SELECT _file, customer_id, reject AS rejection_reason FROM ({labelled('customers')}) l WHERE reject IS NOT NULL"
@@ -340,7 +340,7 @@ _LEDGER = f"""SELECT f AS file_path, CASE WHEN n % 4 = 0 THEN md5('old') ELSE md
     n AS rows_loaded, ks % 7 AS rows_rejected FROM ({_FILES}) x WHERE n <> 5"""
 SQL["ledger_pending"] = f"""SELECT f AS _file, md5(CAST(ks AS VARCHAR)) AS md5 FROM ({_FILES}) x
   WHERE NOT EXISTS (SELECT 1 FROM ({_LEDGER}) l WHERE l.file_path = f AND l.md5_hash = md5(CAST(ks AS VARCHAR)) AND status = 'success')"""
-SQL["ledger_status"] = f"SELECT * FROM ({_LEDGER}) l WHERE file_path = 'stream/1996-03-05/08/orders.json'"
+SQL["ledger_status"] = f"SELECT * FROM ({_LEDGER}) l WHERE file_path = 'stream/1996-03-06/08/orders.json'"
 SQL["ledger_list"] = f"SELECT * FROM ({_LEDGER}) l WHERE file_path LIKE '%1996-03%'"
 SQL["ledger_mark"] = f"""SELECT * FROM ({_LEDGER}) l WHERE file_path NOT IN (SELECT f FROM ({_FILES}) x WHERE n >= 5)
   UNION ALL SELECT f, md5(CAST(ks AS VARCHAR)), '2024-01-02 00:00:00.000000', 'success', n, 0 FROM ({_FILES}) x WHERE n >= 5"""
@@ -424,4 +424,5 @@ SQL["stream_pipeline_tickets"] = f"""SELECT ticket_id, order_id, {_T_IDS}, statu
   FROM ({_ticket_rows()}) t"""
 SQL["stream_pipeline_events"] = f"""SELECT event_id, ticket_id, {_RINT.format(c='agent_id')}, strftime(event_ts, {TS}) AS event_ts,
     old_status, new_status, notes FROM ({valid('ticket_events')}) e
-  WHERE ticket_id IN (SELECT ticket_id FROM ({_ticket_rows()}) t) AND agent_id IN (SELECT s_suppkey FROM supplier)"""
+  WHERE (ticket_id IN (SELECT ticket_id FROM ({_ticket_rows()}) t)
+    OR slot < (SELECT min(slot) FROM ({_ticket_rows()}) t)) AND agent_id IN (SELECT s_suppkey FROM supplier)"""

@@ -10,6 +10,7 @@ def spark():
         configure(SparkSession.builder.master("local[8]").appName("ordergate-tests"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
     )
     session = builder.getOrCreate()
