@@ -462,7 +462,7 @@ def validation_stats(spark, sf_dir):
 
 def _parents(spark, sf_dir, names):
     return {
-        n: refs.known_keys(star(spark, sf_dir, TABLES[n].warehouse_name), TABLES[n].key) for n in names
+        n: refs.known_keys(star(spark, sf_dir, TABLES[n].warehouse_name), TABLES[n].key, unique=True) for n in names
     }
 
 

@@ -26,7 +26,7 @@ _SPACE = (
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-_NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def strip(col: Column) -> Column:
@@ -39,14 +39,19 @@ def csv_missing_to_null(col: Column) -> Column:
 
 def number(col: Column) -> Column:
     """Text to double. The pattern keeps out Java-only spellings such as '12d'."""
-    text = strip(col)
-    return F.when(text.rlike(_NUMERIC), text.try_cast("double"))
+    return F.when(col.rlike(_NUMERIC), col.try_cast("double"))
 
 
 def timestamp(col: Column, formats: Sequence[str] = ()) -> Column:
-    """Text to timestamp without zone: ISO forms first, then ``formats`` in order."""
+    """Text to timestamp without zone: ISO forms first, then ``formats`` in order.
+
+    The cast trims, and none of the missing-date texts parses, so the plain case
+    is the cast alone.
+    """
+    iso = col.try_cast("timestamp_ntz")
+    if not formats:
+        return iso
     text = F.when(~F.lower(strip(col)).isin(*DATE_MISSING), strip(col))
-    iso = text.try_cast("timestamp_ntz")
     others = [
         F.try_to_timestamp(text, F.lit(f)).try_cast("timestamp_ntz") for f in formats
     ]

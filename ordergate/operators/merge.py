@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def last_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The latest copy of each key; copies meet before the shuffle, as in an aggregate."""
-    rest = [c for c in rows.columns if c != key and c not in order]
-    latest = F.max_by(F.struct(*rest), F.struct(*order)) if rest else F.count(F.lit(1))
-    grouped = rows.where(F.col(key).isNotNull()).groupBy(key).agg(latest.alias("_last"))
-    return grouped.select(key, "_last.*") if rest else grouped.select(key)
+    """The latest copy of each key.
+
+    ``row_number() = 1`` keeps one candidate per key and task before the
+    shuffle, so a key with very many copies moves as a few rows.
+    """
+    latest_first = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
+    numbered = rows.where(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(latest_first))
+    return numbered.where("_n = 1").drop("_n", *order)
 
 
 def merge(target: DataFrame, load: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:

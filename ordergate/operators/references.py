@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordergate.functions.rounding import ratio
 from ordergate.operators.validation import FILE
 from ordergate.registry import TableSpec, declared_references
 
@@ -34,8 +35,10 @@ class KeyCheck:
     since: str | None = None
 
 
-def known_keys(dimension: DataFrame, key: str) -> DataFrame:
-    return dimension.select(key).where(F.col(key).isNotNull()).distinct()
+def known_keys(dimension: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """Non-NULL keys; ``unique`` saves the shuffle where the table has one row per key."""
+    keys = dimension.select(key).where(F.col(key).isNotNull())
+    return keys if unique else keys.distinct()
 
 
 def _any_known(check: KeyCheck, slot: str | None) -> Column:
@@ -94,24 +97,19 @@ def label_orphans(
     for i, check in enumerate(checks):
         joined, ok = _join_keys(joined, check, i, row_key, salt, slot)
         failures.append((check, ~ok & _any_known(check, slot)))
+    if not failures:
+        nothing = F.lit(None).cast("string")
+        return df.withColumns({c: nothing for c in (ORPHAN, ORPHAN_COLUMN, ORPHAN_VALUE)})
     scope = F.lit(True) if where is None else where
-
-    def first(of) -> Column:
-        if not failures:
-            return F.lit(None).cast("string")
-        return F.coalesce(*[F.when(scope & failed, of(check)) for check, failed in failures])
-
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        first(lambda c: F.lit(c.label)).alias(ORPHAN),
-        F.coalesce(*[
-            F.when(scope & failed, F.lit(check.column)) for check, failed in failures
-        ]).alias(ORPHAN_COLUMN) if failures else F.lit(None).cast("string").alias(ORPHAN_COLUMN),
-        F.coalesce(*[
-            F.when(scope & failed, F.coalesce(key_text(df, check.column), F.lit("")))
-            for check, failed in failures
-        ]).alias(ORPHAN_VALUE) if failures else F.lit(None).cast("string").alias(ORPHAN_VALUE),
-    )
+    label = F.coalesce(*[F.when(scope & failed, F.lit(check.label)) for check, failed in failures])
+    labelled = joined.select(*[F.col(c) for c in df.columns], label.alias(ORPHAN))
+    # Column and value follow from the label, so each test is evaluated once.
+    is_label = [(F.col(ORPHAN) == check.label, check.column) for check in checks]
+    return labelled.withColumns({
+        ORPHAN_COLUMN: F.coalesce(*[F.when(hit, F.lit(column)) for hit, column in is_label]),
+        ORPHAN_VALUE: F.coalesce(*[
+            F.when(hit, F.coalesce(key_text(df, column), F.lit(""))) for hit, column in is_label]),
+    })
 
 
 def key_text(df: DataFrame, column: str) -> Column:
@@ -176,9 +174,7 @@ def orphan_stats(labelled: DataFrame) -> DataFrame:
 
 
 def orphan_rate(orphans: Column, total: Column) -> Column:
-    """Rate to four digits, half-even as the exact quotient is rounded; 0 of 0 is 0."""
-    from ordergate.functions.rounding import ratio
-
+    """Rate to four digits; 0 of 0 is 0."""
     return F.coalesce(ratio(orphans, total, digits=4), F.lit(0.0))
 
 

@@ -8,7 +8,7 @@ Lineage columns every input row carries:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordergate.functions.rules import first_failure, row_rules
@@ -34,7 +34,14 @@ def collapse_copies(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def keep_first(df: DataFrame, spec: TableSpec) -> DataFrame:
-    return collapse_copies(df, spec).where(F.col(spec.key).isNotNull()).drop(COPIES)
+    """The first copy only, where counts are not wanted.
+
+    ``row_number() = 1`` lets Spark drop later copies in each task before the
+    shuffle, which is cheaper than the aggregate and as safe for hot keys.
+    """
+    copies = Window.partitionBy(FILE, spec.key).orderBy(ORDER)
+    keyed = df.where(F.col(spec.key).isNotNull())
+    return keyed.withColumn("_n", F.row_number().over(copies)).where("_n = 1").drop("_n")
 
 
 def label_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
