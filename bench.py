@@ -28,7 +28,7 @@ HEADLINE = (
     "upsert_merge", "upsert_partial_columns", "quality_log_rows", "json_scan", "csv_scan",
 )
 # Whole jobs, dominated by fixed cost at small sizes: one run each, after the fixture exists.
-JOBS = ("batch_pipeline_customers", "stream_pipeline_orders")
+JOBS = ("batch_job_customers", "stream_job_orders")
 
 
 def timed(spark: SparkSession, name: str, sf_dir: str) -> float:

@@ -15,7 +15,7 @@ from ordergate.operators import merge as merging
 from ordergate.operators import metrics, quarantine
 from ordergate.operators import references as refs
 from ordergate.operators import validation as val
-from ordergate.plans import batch, pipeline, reports, views
+from ordergate.plans import batch, reports, table_job, views
 from ordergate.registry import BATCH_FILES, FACT_REFERENCES, STREAM_FILES, TABLES
 from ordergate.session import local_frame, scratch_folder
 from ordergate.sources import csv_files, json_files, ledger
@@ -152,7 +152,7 @@ def _json_folder(spark, sf_dir, name):
 def json_scan(spark, sf_dir):
     spec = TABLES["orders"]
     found = sources.list_files(spark, _json_folder(spark, sf_dir, "orders")).collect()
-    return json_files.read_json(spark, [f.path for f in found], spec).select(*spec.column_names)
+    return json_files.read_json(spark, found, spec).select(*spec.column_names)
 
 
 def _batch_folder(spark, sf_dir):
@@ -175,7 +175,7 @@ def batch_manifest_counts(spark, sf_dir):
     counts = {}
     for name in _BATCH_TABLES:
         mine = [f for f in marked if f.table_name == name]
-        rows = (json_files.read_json(spark, [f.path for f in mine], TABLES[name]) if formats[name] == "json"
+        rows = (json_files.read_json(spark, mine, TABLES[name]) if formats[name] == "json"
                 else csv_files.read_csv(spark, mine, TABLES[name]))
         counts[name] = rows
     return reports.row_counts(counts)
@@ -184,8 +184,8 @@ def batch_manifest_counts(spark, sf_dir):
 @query
 def slot_scan(spark, sf_dir):
     found = sources.stream_files(spark, _json_folder(spark, sf_dir, "orders"), RUN_DATE)
-    rows = json_files.read_json(spark, [f.path for f in found.collect()], TABLES["orders"])
-    by_slot = rows.select(pipeline.slot_of(RUN_DATE).alias("slot"), "order_id")
+    rows = json_files.read_json(spark, found.collect(), TABLES["orders"])
+    by_slot = rows.select(table_job.slot_of(RUN_DATE).alias("slot"), "order_id")
     return by_slot.groupBy("slot").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"))
 
 
@@ -746,13 +746,13 @@ def quarantine_roundtrip(spark, sf_dir):
 # Jobs ---------------------------------------------------------------------------------
 
 def _run(spark, root, **more):
-    return pipeline.Run(
+    return table_job.Run(
         spark, Warehouse(spark, f"{root}/warehouse"), f"{root}/quarantine", f"{root}/staging", RUN_DATE,
         run_timestamp=RUN_TIME, **more)
 
 
 @query
-def batch_pipeline_customers(spark, sf_dir):
+def batch_job_customers(spark, sf_dir):
     run = _run(spark, scratch_folder(spark, "batch-job"))
     batch.run_batch(run, _batch_folder(spark, sf_dir), ["cities", "regions", "segments", "customers"])
     return run.warehouse.read("customers")
@@ -785,17 +785,17 @@ def _streamed(spark, sf_dir, table, *stages):
 
 
 @query
-def stream_pipeline_orders(spark, sf_dir):
+def stream_job_orders(spark, sf_dir):
     return _streamed(spark, sf_dir, "orders")
 
 
 @query
-def stream_pipeline_tickets(spark, sf_dir):
+def stream_job_tickets(spark, sf_dir):
     return _streamed(spark, sf_dir, "tickets", "orders")
 
 
 @query
-def stream_pipeline_events(spark, sf_dir):
+def stream_job_events(spark, sf_dir):
     return _streamed(spark, sf_dir, "ticket_events", "orders", "tickets")
 
 
@@ -806,7 +806,7 @@ def rerun_idempotent(spark, sf_dir):
     folder = _stream_folder(spark, sf_dir)
     found = sources.stream_files(spark, folder, RUN_DATE).where("table_name = 'orders'")
     for terminal in (("success",), ()):
-        again = pipeline.Run(**{**vars(run), "terminal_statuses": terminal, "run_id": f"run-{len(terminal)}"})
+        again = table_job.Run(**{**vars(run), "terminal_statuses": terminal, "run_id": f"run-{len(terminal)}"})
         run_once(again, folder, found)
     return run.warehouse.read("orders").select("order_id", "customer_id", "order_status", "total_amount")
 

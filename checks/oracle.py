@@ -377,7 +377,7 @@ def _customers_job() -> str:
         strftime(updated_at, {TS}) AS updated_at FROM ({valid('customers')}) v WHERE {ok}"""
 
 
-SQL["batch_pipeline_customers"] = _customers_job()
+SQL["batch_job_customers"] = _customers_job()
 
 
 def _order_rows() -> str:
@@ -394,7 +394,7 @@ def _money(*columns: str) -> str:
 
 
 _IDS = ", ".join(_RINT.format(c=c) for c in ("customer_id", "restaurant_id", "driver_id", "region_id"))
-SQL["stream_pipeline_orders"] = f"""SELECT order_id, {_IDS},
+SQL["stream_job_orders"] = f"""SELECT order_id, {_IDS},
     {_money('order_amount', 'delivery_fee', 'discount_amount', 'total_amount')}, order_status, payment_method,
     strftime(order_created_at, {TS}) AS order_created_at, strftime(delivered_at, {TS}) AS delivered_at
   FROM ({_last(_order_rows(), 'order_id')}) o"""
@@ -413,7 +413,7 @@ def _ticket_rows() -> str:
 
 _T_IDS = ", ".join(_RINT.format(c=c) for c in (
     "customer_id", "driver_id", "restaurant_id", "agent_id", "reason_id", "priority_id", "channel_id"))
-SQL["stream_pipeline_tickets"] = f"""SELECT ticket_id, order_id, {_T_IDS}, status, {_money('refund_amount')},
+SQL["stream_job_tickets"] = f"""SELECT ticket_id, order_id, {_T_IDS}, status, {_money('refund_amount')},
     {as_text('tickets', list(DATES['tickets']))},
     CASE WHEN resolved_at IS NOT NULL THEN first_response_at > sla_first_due_at END AS is_first_response_breached,
     CASE WHEN resolved_at IS NOT NULL THEN resolved_at > sla_resolve_due_at END AS is_resolution_breached,
@@ -422,7 +422,7 @@ SQL["stream_pipeline_tickets"] = f"""SELECT ticket_id, order_id, {_T_IDS}, statu
     CASE WHEN resolved_at IS NOT NULL THEN ((epoch_us(resolved_at) - epoch_us(created_at)) * 2 + 600000) // 1200000 / 100.0 END
       AS resolution_minutes
   FROM ({_ticket_rows()}) t"""
-SQL["stream_pipeline_events"] = f"""SELECT event_id, ticket_id, {_RINT.format(c='agent_id')}, strftime(event_ts, {TS}) AS event_ts,
+SQL["stream_job_events"] = f"""SELECT event_id, ticket_id, {_RINT.format(c='agent_id')}, strftime(event_ts, {TS}) AS event_ts,
     old_status, new_status, notes FROM ({valid('ticket_events')}) e
   WHERE (ticket_id IN (SELECT ticket_id FROM ({_ticket_rows()}) t)
     OR slot < (SELECT min(slot) FROM ({_ticket_rows()}) t)) AND agent_id IN (SELECT s_suppkey FROM supplier)"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ordergate.operators.metrics import FAILED
 from ordergate.operators.references import declared_checks
-from ordergate.plans.pipeline import STATUS_COLUMNS, Run, TableResult, record, run_table
+from ordergate.plans.table_job import STATUS_COLUMNS, Run, TableResult, record, run_table
 from ordergate.registry import BATCH_FILES, TABLES, declared_references
 from ordergate.session import local_frame
 from ordergate.sources.files import batch_files

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordergate.registry import TableSpec
 from ordergate.session import local_frame
 
 
+# A variant holds at most 128 MB; larger files are read member by member.
+VARIANT_LIMIT = 64 * 1024 * 1024
+
 # Marks the one row that stands for a file holding an empty array.
 EMPTY_LIST = ""
 
@@ -36,23 +40,35 @@ def _file_error(value: Column, shape: Column, spec: TableSpec) -> Column:
     )
 
 
-def read_json(spark: SparkSession, paths: list[str], spec: TableSpec, check_columns: bool = True) -> DataFrame:
-    """Rows of many files with ``_file``, ``_order`` and ``_error``."""
-    fields = spec.column_names
-    if not paths:
-        columns = ", ".join(f"{c} string" for c in fields)
-        return local_frame(
-            spark, [], f"_file string, _order struct<block: bigint, row: bigint>, {columns}, _error string")
+def read_json(
+    spark: SparkSession, files: list, spec: TableSpec, variant_limit: int = VARIANT_LIMIT
+) -> DataFrame:
+    """Rows of many files with ``_file``, ``_order`` and ``_error``.
+
+    ``files`` are listed file rows (path, length).
+    """
+    small = [f.path for f in files if 0 < f.length <= variant_limit]
+    large = [f.path for f in files if f.length > variant_limit]
+    columns = ", ".join(f"{c} string" for c in spec.column_names)
+    rows = local_frame(
+        spark, [], f"_file string, _order struct<block: bigint, row: bigint>, {columns}, _error string")
+    if small:
+        rows = rows.unionByName(_read_variants(spark, small, spec))
+    if large:
+        rows = rows.unionByName(_read_typed(spark, large, spec))
+    return rows
+
+
+def _read_variants(spark: SparkSession, paths: list[str], spec: TableSpec) -> DataFrame:
+    """Each file as one variant, which tells an absent column from a NULL one."""
     files = (
         spark.read.option("singleVariantColumn", "v").option("multiLine", True)
         .option("mode", "PERMISSIVE").json(paths)
         .select(F.col("_metadata.file_path").alias("_file"), "v")
     )
     shape = F.schema_of_variant("v")
-    error = _file_error(F.col("v"), shape, spec)
-    if not check_columns:
-        error = F.when(error.startswith("Missing"), F.lit(None)).otherwise(error)
-    described = files.select("_file", "v", shape.alias("_shape"), error.alias("_error"))
+    described = files.select(
+        "_file", "v", shape.alias("_shape"), _file_error(F.col("v"), shape, spec).alias("_error"))
     items = described.selectExpr(
         "_file", "_error",
         "case when _error is null and _shape like 'ARRAY<%' "
@@ -61,15 +77,30 @@ def read_json(spark: SparkSession, paths: list[str], spec: TableSpec, check_colu
     )
     rows = items.select("_file", "_error", F.posexplode_outer("items").alias("row", "item")).where(
         "_error is not null or row is not null")
+    member = lambda c: F.try_variant_get("item", f"$.{c}", "string")
     return rows.select(
-        "_file",
-        F.struct(F.lit(0).cast("bigint").alias("block"), F.col("row").cast("bigint").alias("row")).alias("_order"),
-        *[_text(F.col("item"), c).alias(c) for c in fields],
-        "_error",
+        "_file", _order(F.col("row")), *[_text(member(c)).alias(c) for c in spec.column_names], "_error")
+
+
+def _read_typed(spark: SparkSession, paths: list[str], spec: TableSpec) -> DataFrame:
+    """Files too large for a variant, member by member; an absent column is NULL."""
+    names = spec.column_names
+    fields = [T.StructField(c, T.StringType()) for c in (*names, "_bad")]
+    rows = (
+        spark.read.schema(T.StructType(fields)).option("multiLine", True)
+        .option("columnNameOfCorruptRecord", "_bad").json(paths)
     )
+    error = F.when(F.col("_bad").isNotNull(), F.lit("Malformed JSON"))
+    return rows.select(
+        F.col("_metadata.file_path").alias("_file"), _order(F.monotonically_increasing_id()),
+        *[_text(F.col(c)).alias(c) for c in names], error.alias("_error"))
+
+
+def _order(row: Column) -> Column:
+    """A file is read by one task, so the row number alone orders it."""
+    return F.struct(F.lit(0).cast("bigint").alias("block"), row.cast("bigint").alias("row")).alias("_order")
 
 
-def _text(item: Column, name: str) -> Column:
+def _text(value: Column) -> Column:
     """A member as text. The literal NaN is how some writers spell a missing value."""
-    value = F.try_variant_get(item, f"$.{name}", "string")
     return F.when(value != "NaN", value)

@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ordergate.plans.pipeline import Run
+from ordergate.plans.table_job import Run
 from ordergate.sources.files import stream_files
 from ordergate.streaming.scan import run_once
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ordergate.operators import metrics
 from ordergate.plans.batch import run_batch
-from ordergate.plans.pipeline import Run
+from ordergate.plans.table_job import Run
 from ordergate.streaming import run_once, watch
 from ordergate.warehouse import Warehouse
 

@@ -65,7 +65,8 @@ def test_json_shapes(spark, tmp_path):
         "broken": '[{"city_id": 1', "scalars": "[1, 2]", "lacking": '[{"city_id": 1}]'}
     for name, text in cases.items():
         (tmp_path / f"{name}.json").write_text(text)
-    rows = json_files.read_json(spark, [f"{tmp_path}/{n}.json" for n in cases], CITY).orderBy("_file", "_order").collect()
+    found = files.list_files(spark, str(tmp_path)).collect()
+    rows = json_files.read_json(spark, found, CITY).orderBy("_file", "_order").collect()
     got = {}
     for r in rows:
         name = r["_file"].rsplit("/", 1)[1].removesuffix(".json")
@@ -103,3 +104,14 @@ def test_ledger_keeps_one_row_per_path(spark):
     assert status_of(after, "day-1/a").collect()[0][1:] == ("unknown", after.where("file_path = 'day-1/a'").collect()[0][2], "success", 7, 0)
     assert [r.file_path for r in list_processed(after, "day-1").collect()] == ["day-1/a", "day-1/c"]
     assert list_processed(after).count() == 3
+
+
+def test_large_json_reads_the_same_rows(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '[{"city_id": 1, "city_name": "x", "country": null, "timezone": NaN}, {"city_id": 2, "city_name": "y"}]')
+    (tmp_path / "b.json").write_text('[{"city_id": 1')
+    found = files.list_files(spark, str(tmp_path)).collect()
+    read = lambda limit: [
+        tuple(r)[2:] for r in json_files.read_json(spark, found, CITY, limit).orderBy("_file", "_order").collect()]
+    assert read(0) == read(10**6) == [
+        ("1", "x", None, None, None), ("2", "y", None, None, None), (None,) * 4 + ("Malformed JSON",)]
