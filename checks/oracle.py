@@ -129,7 +129,7 @@ SLA_DAILY = f"""SELECT CAST(CAST(created_at AS DATE) AS VARCHAR) AS day, count(*
     {REFUNDS}, count(DISTINCT agent_id) AS agents_involved
   FROM ({FLAGGED}) f WHERE fr IS NOT NULL GROUP BY 1"""
 
-BY_RESTAURANT = f"""SELECT r.restaurant_id, r.restaurant_name, c.category_name, g.region_name,
+BY_RESTAURANT = f"""SELECT CAST(r.restaurant_id AS BIGINT) AS restaurant_id, r.restaurant_name, c.category_name, g.region_name,
     count(ticket_id) AS total_tickets, {pct(COUNT_RES, 'count(res)')} AS res_breach_rate_pct,
     CAST((2 * sum(hundredths) + count(hundredths)) // (2 * count(hundredths)) AS BIGINT) / 100.0 AS avg_resolution_min,
     {REFUNDS}
@@ -138,7 +138,7 @@ BY_RESTAURANT = f"""SELECT r.restaurant_id, r.restaurant_name, c.category_name,
   JOIN ({duck('dim_region')}) g ON r.region_id = g.region_id
   WHERE res IS NOT NULL GROUP BY 1, 2, 3, 4"""
 
-BY_DRIVER = f"""SELECT d.driver_id, d.driver_name, d.vehicle_type, count(ticket_id) AS total_tickets,
+BY_DRIVER = f"""SELECT CAST(d.driver_id AS BIGINT) AS driver_id, d.driver_name, d.vehicle_type, count(ticket_id) AS total_tickets,
     {pct(COUNT_RES, 'count(res)')} AS res_breach_rate_pct, {REFUNDS},
     CAST(d.on_time_rate AS DOUBLE) AS on_time_rate, CAST(d.cancel_rate AS DOUBLE) AS cancel_rate
   FROM ({FLAGGED}) t JOIN ({duck('dim_driver')}) d ON t.driver_id = d.driver_id
@@ -289,7 +289,7 @@ _LOG = f"""SELECT '{RUN_DATE}' AS run_date, '{RUN_TS}' AS run_timestamp, 'orders
     total AS total_records, CASE WHEN skipped THEN total - rejected ELSE loaded END AS valid_records,
     CASE WHEN skipped THEN rejected ELSE rejected + orphans END AS rejected_records, dups AS duplicate_count,
     nulls AS null_violation_count, fmt AS invalid_format_count, orphans AS orphan_count,
-    {_RATE4.format(s='orphans', n='(loaded + orphans)')} AS orphan_rate, 340 AS processing_latency_ms,
+    {_RATE4.format(s='orphans', n='(loaded + orphans)')} AS orphan_rate, CAST(340 AS BIGINT) AS processing_latency_ms,
     CASE WHEN skipped THEN 'skipped' ELSE 'success' END AS status FROM ({_STATS}) s"""
 SQL["quality_log_rows"] = _LOG
 SQL["quality_daily"] = _LOG
@@ -305,7 +305,7 @@ SQL["batch_summary"] = f"""SELECT count(*) AS files_attempted, count(CASE WHEN N
     count(CASE WHEN skipped THEN 1 END) AS files_skipped,
     CAST(sum(CASE WHEN skipped THEN 0 ELSE loaded END) AS BIGINT) AS total_rows_loaded,
     CAST(sum(CASE WHEN skipped THEN 0 ELSE rejected + orphans END) AS BIGINT) AS total_rows_rejected FROM ({_STATS}) s"""
-SQL["stream_summary"] = f"""WITH s AS ({_STATS}) SELECT slot, orders_loaded, 0 AS tickets_loaded, 0 AS events_loaded FROM (
+SQL["stream_summary"] = f"""WITH s AS ({_STATS}) SELECT slot, orders_loaded, CAST(0 AS BIGINT) AS tickets_loaded, CAST(0 AS BIGINT) AS events_loaded FROM (
     SELECT lpad(CAST(sl AS VARCHAR), 2, '0') AS slot, CAST(sum(loaded) AS BIGINT) AS orders_loaded FROM s WHERE NOT skipped GROUP BY 1
     UNION ALL SELECT 'all', CAST(sum(loaded) AS BIGINT) FROM s WHERE NOT skipped) x"""
 
@@ -322,7 +322,7 @@ def _merged(columns: tuple[str, ...]) -> str:
         chosen = f"CASE WHEN l.order_id IS NOT NULL THEN l.{c} ELSE t.{c} END" if c in columns else f"t.{c}"
         if c == "order_created_at":
             return f"strftime({chosen}, {TS}) AS {c}"
-        return f"CAST({chosen} AS DOUBLE) AS {c}" if c == "total_amount" else f"{chosen} AS {c}"
+        return f"CAST({chosen} AS {'DOUBLE' if c == 'total_amount' else 'BIGINT'}) AS {c}"
     names = ", ".join(pick(c) for c in ("customer_id", "region_id", "total_amount", "order_created_at"))
     return f"""SELECT coalesce(l.order_id, t.order_id) AS order_id, {names}
       FROM ({_TARGET}) t FULL OUTER JOIN ({_LOAD}) l ON t.order_id = l.order_id"""
