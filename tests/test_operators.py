@@ -202,3 +202,32 @@ def test_scratch_folder_uses_the_shared_setting(spark):
 
     assert scratch_folder(Session(), "x").startswith("/shared/place/ordergate-x-")
     assert scratch_folder(Session(), "x") != scratch_folder(Session(), "x")
+
+
+def test_hot_and_missing_keys_are_split_in_a_shuffled_join(spark):
+    """A third of the rows share one key, a third have none, and nothing may be broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        hot = F.when(i % 3 == 0, 7).when(i % 3 == 2, i % 90000)
+        rows = spark.range(400_000, numPartitions=16).select(
+            F.lit("f").alias("_file"), i.cast("string").alias("order_id"), hot.cast("double").alias("customer_id"),
+            F.sha2(i.cast("string"), 256).alias("payload"))
+        known = spark.range(80_000).select(i.cast("int").alias("customer_id"))
+        labelled = refs.label_orphans(rows, [refs.KeyCheck("customer_id", known, "orphan")], "order_id")
+        whole = labelled.where(F.length("payload") > 0)
+        whole.tail(1)
+        assert "skew=true" in whole._jdf.queryExecution().executedPlan().toString()
+        salted = refs.label_orphans(rows, [refs.KeyCheck("customer_id", known, "orphan")], "order_id", salt=8)
+        count = lambda df: refs.orphan_rows(df).count()
+        expected = sum(1 for n in range(400_000) if n % 3 == 1 or (n % 3 == 2 and n % 90_000 >= 80_000))
+        assert count(labelled) == count(salted) == expected
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
