@@ -115,23 +115,22 @@ def batch_summary(file_status: DataFrame) -> DataFrame:
     )
 
 
+_LOADED = {
+    "orders_loaded": "orders", "tickets_loaded": "tickets", "events_loaded": "ticket_events",
+}
+
+
+def _loaded_columns() -> list[Column]:
+    return [
+        F.coalesce(F.sum(F.when(F.col("table_name") == t, F.col("rows_loaded"))), F.lit(0)).alias(name)
+        for name, t in _LOADED.items()
+    ]
+
+
 def stream_summary(file_status: DataFrame) -> DataFrame:
     """Rows loaded per fact table over all slots."""
-    loaded = {
-        "orders_loaded": "orders", "tickets_loaded": "tickets", "events_loaded": "ticket_events",
-    }
-    return file_status.where(F.col("status") == SUCCESS).agg(*[
-        F.coalesce(F.sum(F.when(F.col("table_name") == t, F.col("rows_loaded"))), F.lit(0)).alias(name)
-        for name, t in loaded.items()
-    ])
+    return file_status.where(F.col("status") == SUCCESS).agg(*_loaded_columns())
 
 
 def stream_summary_by_slot(file_status: DataFrame) -> DataFrame:
-    """The same per slot: partial sums per slot, small whatever the input."""
-    loaded = {
-        "orders_loaded": "orders", "tickets_loaded": "tickets", "events_loaded": "ticket_events",
-    }
-    return file_status.where(F.col("status") == SUCCESS).groupBy("slot").agg(*[
-        F.coalesce(F.sum(F.when(F.col("table_name") == t, F.col("rows_loaded"))), F.lit(0)).alias(name)
-        for name, t in loaded.items()
-    ])
+    return file_status.where(F.col("status") == SUCCESS).groupBy("slot").agg(*_loaded_columns())
