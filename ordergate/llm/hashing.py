@@ -116,7 +116,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, rows, hashes
 
 
-_GRAM = tuple(U(int(x)) for x in np.random.default_rng(7).integers(1, 1 << 62, 64) * 2 + 1)
+_GRAM = np.random.default_rng(7).integers(1, 1 << 62, 64).astype(U) * U(2) + U(1)
 
 
 def shingles(rows: np.ndarray, hashes: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,5 +140,5 @@ def shingles(rows: np.ndarray, hashes: np.ndarray, n_rows: int, size: int) -> tu
     out = grams[at]
     for r in short:
         a, b = first[r], first[r + 1]
-        out[bounds[r]] = sum((hashes[a + j] * _GRAM[j] for j in range(b - a)), U(0)) + U(b - a)
+        out[bounds[r] : bounds[r] + 1] = (hashes[a:b] * _GRAM[: b - a]).sum(dtype=U, keepdims=True) + U(b - a)
     return mix(out), bounds

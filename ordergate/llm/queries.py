@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordergate.llm import language
+from ordergate.llm.near import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +21,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 QUERIES = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {}
