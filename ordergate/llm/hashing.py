@@ -62,20 +62,20 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
 
 
 class Prefix:
-    """Hashes of substrings of one byte buffer."""
+    """Hashes of substrings of one string, given a 64-bit value for each of its symbols."""
 
-    def __init__(self, data: np.ndarray, values: np.ndarray = BYTE_VALUES):
-        n = len(data)
+    def __init__(self, values: np.ndarray):
+        n = len(values)
         base, self.inverse = powers(n + 1)
         self.sums = np.zeros(n + 1, U)
-        np.cumsum(values[data] * base[:n], out=self.sums[1:])
+        np.cumsum(values * base[:n], out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Unmixed hashes of the bytes [start, end)."""
+        """Unmixed hashes of [start, end)."""
         return (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
 
     def grams(self, k: int) -> np.ndarray:
-        """Unmixed hashes of every run of k bytes."""
+        """Unmixed hashes of every run of k symbols."""
         n = len(self.sums) - 1
         if n < k:
             return np.zeros(0, U)
@@ -112,7 +112,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts = np.flatnonzero(inside & (~before | edge[:n]))
     ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
     rows = np.searchsorted(offsets, starts, "right") - 1
-    hashes = mix(Prefix(data, FOLDED_VALUES).of(starts, ends) + (ends - starts).astype(U))
+    hashes = mix(Prefix(FOLDED_VALUES[data]).of(starts, ends) + (ends - starts).astype(U))
     return starts, ends, rows, hashes
 
 

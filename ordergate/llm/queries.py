@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ordergate.llm import language
 from ordergate.llm.near import near_duplicates
+from ordergate.llm.suffix import stripped
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +22,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stripped(_table(spark, sf_dir, "documents"), length=400)
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_duplicates": op2_near_duplicates,
     "op10_language_id": op10_language_id,
 }
