@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordergate.llm import language
+from ordergate.llm import language, pii
 from ordergate.llm.near import near_duplicates
 from ordergate.llm.suffix import stripped
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.spans(docs, pii.fit(docs))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -33,6 +38,7 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_duplicates": op2_near_duplicates,
+    "op8_pii": op8_pii,
     "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {}
