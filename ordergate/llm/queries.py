@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordergate.llm import language, pii
 from ordergate.llm.near import near_duplicates
+from ordergate.llm.packing import pack
 from ordergate.llm.suffix import stripped
 
 
@@ -19,6 +21,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(docs, pii.fit(docs))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -39,6 +45,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_duplicates": op2_near_duplicates,
     "op8_pii": op8_pii,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {}
