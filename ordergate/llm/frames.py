@@ -22,6 +22,9 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]
         at = Path(tempfile.mkdtemp(prefix="ordergate-"))  # the driver's own: Spark hands the file out
+        # texts are long: smaller batches keep Python workers small
+        if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         context.addPyFile(shutil.make_archive(str(at / "ordergate"), "zip", root, "ordergate"))
         _shipped.add(context.applicationId)
 
@@ -29,7 +32,12 @@ def ship(spark: SparkSession) -> None:
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with this package at hand."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:

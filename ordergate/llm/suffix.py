@@ -40,7 +40,7 @@ from ordergate.llm.hashing import BYTE_VALUES, U, Prefix, mix, sliding, text_sli
 
 GRAM = 16
 SHARD_CONTEXTS = 512
-SHARD_SYMBOLS = 1 << 19
+SHARD_SYMBOLS = 1 << 18
 MERGED_LENGTH = 400
 
 
