@@ -10,12 +10,21 @@ from ordergate.llm import language, pii
 from ordergate.llm.near import near_duplicates
 from ordergate.llm.packing import pack
 from ordergate.llm.suffix import stripped
+from ordergate.llm.vectors import approximate_top_k, exact_top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+def op5_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return approximate_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return pii.spans(docs, pii.fit(docs))
@@ -44,6 +53,8 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_threshold_top_k": op3_threshold_top_k,
+    "op5_graph_neighbours": op5_graph_neighbours,
     "op8_pii": op8_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
