@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordergate.llm import language, pii
+from ordergate.llm import flat, language, pieces, pii
 from ordergate.llm.near import near_duplicates
 from ordergate.llm.packing import pack
 from ordergate.llm.suffix import stripped
@@ -25,6 +25,21 @@ def op5_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approximate_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text, a checksum of the ids, and whether decoding gives the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return docs.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.crc32(ids.cast("binary")).alias("ids_crc32"),
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files made of the documents."""
+    blocks = flat.flat_blocks(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), separator=49407)
+    return flat.token_counts(blocks, separator=49407).select("doc_id", "n_tokens")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return pii.spans(docs, pii.fit(docs))
@@ -54,7 +69,9 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_threshold_top_k": op3_threshold_top_k,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_graph_neighbours": op5_graph_neighbours,
+    "op6_token_counts": op6_token_counts,
     "op8_pii": op8_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
