@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ordergate.llm import flat, language, pieces, pii
 from ordergate.llm.near import near_duplicates
 from ordergate.llm.packing import pack
+from ordergate.llm.passages import near_passages
 from ordergate.llm.suffix import stripped
 from ordergate.llm.vectors import approximate_top_k, exact_top_k
 
@@ -40,6 +41,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.token_counts(blocks, separator=49407).select("doc_id", "n_tokens")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_passages(_table(spark, sf_dir, "documents"), min_words=50, percent=80)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return pii.spans(docs, pii.fit(docs))
@@ -72,6 +77,7 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_graph_neighbours": op5_graph_neighbours,
     "op6_token_counts": op6_token_counts,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_pii": op8_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
