@@ -269,6 +269,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_: str
     return (
         table.select("id", "n", "set_a", "set_b").join(sets, ["set_a", "set_b", "n"], "left")
         .join(found.withColumnRenamed("id", "rep"), "rep", "left")
-        .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
+        .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
