@@ -34,7 +34,7 @@ from ordergate.llm.frames import Scratch, arrow_map
 from ordergate.llm.tokens import word_pieces
 
 CAPACITY = 2048
-STEPS, SHARE, SHARPNESS = 600, 0.5, 8.0
+STEPS, SHARE, SHARPNESS = 400, 0.5, 8.0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, nth long"
 
 

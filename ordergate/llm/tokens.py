@@ -11,13 +11,14 @@ to the library.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 
 import numpy as np
 
-CACHE = 300_000
+CACHE = 700_000
 LONGEST = 40
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-įĲ-ň]+")  # NFC, and lower case letter by letter
 # Fixed value: the split rule of such files, and what it comes to on plain chunks.
@@ -46,7 +47,7 @@ class WordPieces:
             model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("ignore_merges") and not model.get("dropout")
             and [n["type"] for n in spec["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
             and pre["type"] == "Sequence" and pre["pretokenizers"][0].get("pattern") == {"Regex": _RULE})
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
         if not self.known:
@@ -133,10 +134,14 @@ class WordPieces:
 
     def _learn(self, chunks: list[str]) -> None:
         plain, other = [], []
+        special = self.special.search
         for c in chunks:
-            easy = self.known and len(c) <= LONGEST and _PLAIN.fullmatch(c) and not any(s in c for s in self.special)
+            easy = self.known and len(c) <= LONGEST and _PLAIN.fullmatch(c) and not special(c)
             (plain if easy else other).append(c)
-        split = [_WORDS.findall(c.lower()) for c in plain]
+        split = []
+        for c in "\n".join(plain).lower().split("\n") if plain else ():
+            # most chunks are one word, or one and a mark
+            split.append((c,) if c.isalpha() else (c[:-1], c[-1]) if c[-1] in ",." and c[:-1].isalpha() else _WORDS.findall(c))
         if len(self.words) > CACHE:
             self.words.clear()
         new: dict[int, list[bytes]] = {}
@@ -152,6 +157,15 @@ class WordPieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
+        collecting = gc.isenabled()
+        gc.disable()  # no cycles are made here, and the caches are slow to walk
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE:
             self.chunks = {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
