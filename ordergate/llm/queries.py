@@ -82,4 +82,26 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_near_duplicates": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+t AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+c(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT t.y, c.r FROM c JOIN t ON c.doc_id = t.x)
+SELECT c.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id, c.doc_id = min(r) AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id GROUP BY c.doc_id""",
+    "op3_threshold_top_k": """
+WITH v AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS z FROM embeddings WHERE embedding IS NOT NULL),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.z, c.z) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
