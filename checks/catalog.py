@@ -135,8 +135,10 @@ def csv_encoding_fallback(spark, sf_dir):
 @query
 def na_sentinels(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/part.parquet")
-    # Every sentinel spelling appears, chosen by the part's size.
-    words = F.array(*[F.lit(w) for w in coerce.CSV_MISSING])
+    # Every sentinel spelling appears, chosen by the part's size, then near-misses that must stay.
+    words = F.array(*[F.lit(w) for w in (
+        "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+        "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", " ", "nUll", "N/a")])
     picked = F.get(words, F.col("p_size") - 1)
     cell = F.coalesce(picked, F.col("p_name"))
     return docs.select("p_partkey", coerce.csv_missing_to_null(cell).alias("cell"))

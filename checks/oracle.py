@@ -193,7 +193,7 @@ SQL["sla_due_times"] = f"""SELECT ticket_id,
   FROM ({duck('fact_ticket')}) t LEFT JOIN ({duck('dim_priority')}) p ON t.priority_id = p.priority_id"""
 
 # Coercion and rules
-SQL["na_sentinels"] = """SELECT p_partkey, CASE WHEN p_size <= 20 THEN NULL ELSE p_name END AS cell FROM part"""
+SQL["na_sentinels"] = """SELECT p_partkey, CASE WHEN p_size <= 19 THEN NULL WHEN p_size = 20 THEN ' ' WHEN p_size = 21 THEN 'nUll' WHEN p_size = 22 THEN 'N/a' ELSE p_name END AS cell FROM part"""
 SQL["schema_prune"] = f"SELECT {as_text('customers')} FROM ({coerced('customers')}) c"
 SQL["coerce_numeric"] = f"""SELECT driver_id, region_id, rating_avg, on_time_rate, cancel_rate, completed_deliveries
   FROM ({coerced('drivers')}) c"""

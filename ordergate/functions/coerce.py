@@ -12,7 +12,7 @@ from ordergate.registry import DATE, NUMBER, TableSpec
 
 # Cell texts that a CSV reader treats as missing.
 CSV_MISSING = (
-    "", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ordergate.operators.metrics import FAILED
 from ordergate.operators.references import declared_checks
-from ordergate.plans.table_job import STATUS_COLUMNS, Run, TableResult, record, run_table
+from ordergate.plans.table_job import STATUS_COLUMNS, Run, TableResult, record, run_table_apart
 from ordergate.registry import BATCH_FILES, TABLES, declared_references
 from ordergate.session import local_frame
 from ordergate.sources.files import batch_files
@@ -62,7 +62,7 @@ def run_batch(
             parent: run.warehouse.read(parent).select(TABLES[parent].key)
             for _, parent, _ in declared_references(spec)
         }
-        return run_table(run, found, spec, formats[name], declared=declared_checks(spec, parents))
+        return run_table_apart(run, found, spec, formats[name], declared=declared_checks(spec, parents))
 
     statuses = []
     with ThreadPoolExecutor(parallel) as pool:

@@ -32,6 +32,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix=f"ordergate-{name}-")
     return f"{shared.rstrip('/')}/ordergate-{name}-{uuid.uuid4().hex}"
 

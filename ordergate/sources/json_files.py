@@ -3,6 +3,11 @@
 A bare object counts as one row. A file that is malformed, a scalar, or lacks a
 required column gives a single row with ``_error`` set, so one bad file never
 stops the others.
+
+Files are read member by member, whatever their size, each registered column as a
+variant: there an absent key is NULL and a JSON null is not. A first pass finds
+for each file whether it can be read and which columns no member has; the
+second reads the rows of the good ones.
 """
 
 from __future__ import annotations
@@ -14,86 +19,63 @@ from pyspark.sql import types as T
 from ordergate.registry import TableSpec
 from ordergate.session import local_frame
 
-
-# A variant holds at most 128 MB; larger files are read member by member.
-VARIANT_LIMIT = 64 * 1024 * 1024
-
 # Marks the one row that stands for a file holding an empty array.
 EMPTY_LIST = ""
 
 
-def _has_key(shape: Column, name: str) -> Column:
-    return shape.rlike(rf"[<,] ?`?{name}`?: ")
+def _members(spark: SparkSession, paths: list[str], spec: TableSpec) -> DataFrame:
+    fields = [T.StructField(c, T.VariantType()) for c in spec.column_names]
+    rows = (
+        spark.read.schema(T.StructType([*fields, T.StructField("_bad", T.StringType())]))
+        .option("multiLine", True).option("columnNameOfCorruptRecord", "_bad").json(paths)
+    )
+    return rows.select(
+        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"), *spec.column_names, "_bad")
 
 
-def _file_error(value: Column, shape: Column, spec: TableSpec) -> Column:
-    is_list, is_object = shape.startswith("ARRAY<"), shape.startswith("OBJECT<")
-    absent = F.array_compact(F.array(*[
-        F.when(~_has_key(shape, c), F.lit(c)) for c in spec.column_names
-    ]))
-    return (
-        F.when(value.isNull(), F.lit("Malformed JSON"))
-        .when(~is_list & ~is_object, F.concat(F.lit("Expected JSON array, got "), F.lower(shape)))
-        .when(shape == "ARRAY<VOID>", F.lit(EMPTY_LIST))
-        .when(F.size(absent) > 0, F.concat(
-            F.lit("Missing required columns: "), F.array_join(absent, ", ")))
-    )
+def _without_rows(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The error of files in which no member was found: an empty array is none."""
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("_file"), "value")
+    lists = lines.groupBy("_file").agg(F.bool_or(F.contains("value", F.lit("["))).alias("is_list"))
+    return {r["_file"]: EMPTY_LIST for r in lists.collect() if r["is_list"]}
 
 
-def read_json(
-    spark: SparkSession, files: list, spec: TableSpec, variant_limit: int = VARIANT_LIMIT
-) -> DataFrame:
+def _file_errors(spark: SparkSession, files: list, spec: TableSpec) -> dict[str, str]:
+    """Files that give no rows, and why: names and reasons only."""
+    names = spec.column_names
+    seen = _members(spark, [f.path for f in files], spec).groupBy("_file").agg(
+        F.bool_or(F.col("_bad").isNotNull()).alias("_bad"), *[F.bool_and(F.col(c).isNull()).alias(c) for c in names]).collect()
+    errors = {}
+    for r in seen:
+        absent = [c for c in names if r[c]]
+        if r["_bad"]:
+            errors[r["_file"]] = "Malformed JSON"
+        elif absent:
+            errors[r["_file"]] = f"Missing required columns: {', '.join(absent)}"
+    found = {r["_file"] for r in seen}
+    return errors | _without_rows(spark, [f.path for f in files if f["_file"] not in found])
+
+
+def read_json(spark: SparkSession, files: list, spec: TableSpec) -> DataFrame:
     """Rows of many files with ``_file``, ``_order`` and ``_error``.
 
     ``files`` are listed file rows (path, length).
     """
-    small = [f.path for f in files if 0 < f.length <= variant_limit]
-    large = [f.path for f in files if f.length > variant_limit]
-    columns = ", ".join(f"{c} string" for c in spec.column_names)
-    rows = local_frame(
-        spark, [], f"_file string, _order struct<block: bigint, row: bigint>, {columns}, _error string")
-    if small:
-        rows = rows.unionByName(_read_variants(spark, small, spec))
-    if large:
-        rows = rows.unionByName(_read_typed(spark, large, spec))
-    return rows
-
-
-def _read_variants(spark: SparkSession, paths: list[str], spec: TableSpec) -> DataFrame:
-    """Each file as one variant, which tells an absent column from a NULL one."""
-    files = (
-        spark.read.option("singleVariantColumn", "v").option("multiLine", True)
-        .option("mode", "PERMISSIVE").json(paths)
-        .select(F.col("_metadata.file_path").alias("_file"), "v")
-    )
-    shape = F.schema_of_variant("v")
-    described = files.select(
-        "_file", "v", shape.alias("_shape"), _file_error(F.col("v"), shape, spec).alias("_error"))
-    items = described.selectExpr(
-        "_file", "_error",
-        "case when _error is null and _shape like 'ARRAY<%' "
-        "then try_cast(v as array<variant>) "
-        "when _error is null then array(v) end as items",
-    )
-    rows = items.select("_file", "_error", F.posexplode_outer("items").alias("row", "item")).where(
-        "_error is not null or row is not null")
-    member = lambda c: F.try_variant_get("item", f"$.{c}", "string")
-    return rows.select(
-        "_file", _order(F.col("row")), *[_text(member(c)).alias(c) for c in spec.column_names], "_error")
-
-
-def _read_typed(spark: SparkSession, paths: list[str], spec: TableSpec) -> DataFrame:
-    """Files too large for a variant, member by member; an absent column is NULL."""
+    files = [f for f in files if f.length > 0]
+    errors = _file_errors(spark, files, spec) if files else {}
     names = spec.column_names
-    fields = [T.StructField(c, T.StringType()) for c in (*names, "_bad")]
-    rows = (
-        spark.read.schema(T.StructType(fields)).option("multiLine", True)
-        .option("columnNameOfCorruptRecord", "_bad").json(paths)
-    )
-    error = F.when(F.col("_bad").isNotNull(), F.lit("Malformed JSON"))
-    return rows.select(
-        F.col("_metadata.file_path").alias("_file"), _order(F.monotonically_increasing_id()),
-        *[_text(F.col(c)).alias(c) for c in names], error.alias("_error"))
+    columns = ", ".join(f"{c} string" for c in names)
+    rows = local_frame(
+        spark, [(file, {"block": 0, "row": 0}, *[None] * len(names), error) for file, error in errors.items()],
+        f"_file string, _order struct<block: bigint, row: bigint>, {columns}, _error string")
+    good = [f.path for f in files if f["_file"] not in errors]
+    if not good:
+        return rows
+    read = _members(spark, good, spec).select(
+        "_file", _order(F.col("_row")), *[_text(F.col(c)).alias(c) for c in names], F.lit(None).cast("string").alias("_error"))
+    return rows.unionByName(read)
 
 
 def _order(row: Column) -> Column:
@@ -101,6 +83,7 @@ def _order(row: Column) -> Column:
     return F.struct(F.lit(0).cast("bigint").alias("block"), row.cast("bigint").alias("row")).alias("_order")
 
 
-def _text(value: Column) -> Column:
+def _text(member: Column) -> Column:
     """A member as text. The literal NaN is how some writers spell a missing value."""
-    return F.when(value != "NaN", value)
+    text = F.try_variant_get(member, "$", "string")
+    return F.when(text != "NaN", text)

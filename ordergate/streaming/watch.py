@@ -8,6 +8,7 @@ what is loaded, so a replayed micro-batch changes nothing.
 from __future__ import annotations
 
 import dataclasses
+import logging
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -36,15 +37,18 @@ def watch(
     stream_dir: str,
     checkpoint: str,
     poll_seconds: int | None = POLL_SECONDS,
-    rescan: bool = False,
+    rescan: bool = True,
     on_status: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Start loading slots as they arrive; ``stop()`` the returned query to end.
 
-    ``poll_seconds=None`` loads what is there and ends. ``rescan`` lets every
-    micro-batch look at the whole day, which also catches a file whose content
-    changed under a known name.
+    ``poll_seconds=None`` loads what is there and ends. Every micro-batch looks at
+    the whole day, which also catches a file whose content changed under a known
+    name and tries failed files again; without ``rescan`` it looks at the new
+    files only, and at the whole day after a failed scan. A scan that raises is
+    logged and does not end the query.
     """
+    whole_day = rescan
     arrivals = (
         run.spark.readStream.format("binaryFile").schema(_BINARY)
         .option("recursiveFileLookup", True)
@@ -53,10 +57,17 @@ def watch(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        found = stream_files(run.spark, stream_dir, run.run_date)
-        if not rescan:
-            found = found.join(batch.select("path"), "path", "left_semi")
-        status = run_once(_next_run(run), stream_dir, found)
+        nonlocal whole_day
+        try:
+            found = stream_files(run.spark, stream_dir, run.run_date)
+            if not whole_day:
+                found = found.join(batch.select("path"), "path", "left_semi")
+            status = run_once(_next_run(run), stream_dir, found)
+            whole_day = rescan
+        except Exception:  # noqa: BLE001 - the next micro-batch tries again
+            logging.getLogger(__name__).exception("scan failed")
+            whole_day = True
+            return
         if on_status is not None:
             on_status(status)
 

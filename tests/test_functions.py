@@ -48,9 +48,10 @@ def test_timestamp_forms(spark):
 
 
 def test_csv_sentinels(spark):
-    values = [*coerce.CSV_MISSING, "none", "x", " NA"]
-    assert apply(spark, values, coerce.csv_missing_to_null)[-3:] == ["none", "x", " NA"]
-    assert set(apply(spark, list(coerce.CSV_MISSING), coerce.csv_missing_to_null)) == {None}
+    missing = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+    kept = ["none", "x", " NA", " ", "nUll", "N/a"]
+    assert apply(spark, missing + kept, coerce.csv_missing_to_null) == [None] * len(missing) + kept
 
 
 def test_to_stored_rounds_and_nulls(spark):

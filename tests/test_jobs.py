@@ -210,3 +210,69 @@ def test_incremental_flags_stay(spark, tmp_path):
     run_once(make_run(spark, tmp_path, **keep), f"{tmp_path}/stream")
     row = Warehouse(spark, f"{tmp_path}/wh").read("tickets").where(F.col("ticket_id") == "t1").collect()[0]
     assert (row.status, row.is_first_response_breached, row.first_response_seconds) == ("Closed", False, 50)
+
+
+class Failing:
+    """A warehouse whose writes to one table raise."""
+
+    def __init__(self, inner, table):
+        self.inner, self.table = inner, table
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def upsert(self, name, *args, **more):
+        if name == self.table:
+            raise RuntimeError("no space")
+        return self.inner.upsert(name, *args, **more)
+
+
+def ledger_states(run):
+    return {(Path(r["file_path"]).name, r["status"]) for r in run.warehouse.ledger().collect()}
+
+
+def test_a_failing_table_stops_no_other(spark, tmp_path):
+    snapshot(tmp_path)
+    slots(tmp_path)
+    batch, stream = str(tmp_path / "batch"), str(tmp_path / "stream")
+
+    def with_failing(table):
+        run = make_run(spark, tmp_path)
+        run.warehouse = Failing(run.warehouse, table)
+        return run
+
+    found = {Path(r["_file"]).name: r for r in run_batch(with_failing("categories"), batch).collect()}
+    assert found["categories.csv"]["status"] == "failed" and "no space" in found["categories.csv"]["error"]
+    assert found["cities.json"]["status"] == found["agents.csv"]["status"] == "success"
+    run = make_run(spark, tmp_path)
+    assert {("categories.csv", "failed"), ("segments.csv", "success"), ("customers.csv", "success")} <= ledger_states(run)
+
+    found = run_once(with_failing("orders"), stream).collect()
+    assert {r["status"] for r in found if r["table_name"] == "orders"} == {"failed"}
+    assert {r["table_name"] for r in found} == {"orders", "tickets", "events"}
+    # failed files are tried again
+    assert "success" in {r["status"] for r in run_once(run, stream).collect() if r["table_name"] == "orders"}
+    run_batch(make_run(spark, tmp_path), batch)
+    assert ("categories.csv", "success") in ledger_states(run)
+
+
+def test_watch_survives_a_failing_scan(spark, tmp_path, monkeypatch):
+    import sys
+
+    snapshot(tmp_path)
+    slots(tmp_path)
+    run = make_run(spark, tmp_path)
+    run_batch(run, str(tmp_path / "batch"))
+
+    def broken(*_):
+        raise RuntimeError("listing failed")
+
+    seen = []
+    module = sys.modules["ordergate.streaming.watch"]
+    with monkeypatch.context() as m:
+        m.setattr(module, "run_once", broken)
+        watch(run, str(tmp_path / "stream"), str(tmp_path / "ckpt"), poll_seconds=None, on_status=seen.append).awaitTermination()
+    assert not seen
+    put(tmp_path / "stream" / DAY / "23" / "orders.json", [order("late")])
+    watch(run, str(tmp_path / "stream"), str(tmp_path / "ckpt"), poll_seconds=None, on_status=seen.append).awaitTermination()
+    assert run.warehouse.read("orders").count() > 1 and seen
