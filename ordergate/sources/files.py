@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from ordergate.registry import BATCH_FILES, STREAM_FILES
 from ordergate.session import local_frame
 
-# Up to this size a file's content is hashed and inspected as one value; larger
-# files are inspected line by line, in parallel, and known by size and time.
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
+# A file's content is hashed and inspected as one value, which Spark bounds. Larger
+# deliveries come as a folder of parts.
+LARGEST_FILE = 2**31 - 1024
 
 FILE_COLUMNS = (
     "_file string, path string, length bigint, modified timestamp, table_name string, slot string"
@@ -88,8 +88,7 @@ EMPTY_MD5 = "d41d8cd98f00b204e9800998ecf8427e"
 
 
 def fingerprint(
-    spark: SparkSession, files: DataFrame, as_text: bool = True,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
+    spark: SparkSession, files: DataFrame, as_text: bool = True
 ) -> DataFrame:
     """Add ``md5, is_utf8, header, has_quotes`` to each file.
 
@@ -98,17 +97,13 @@ def fingerprint(
     are only asked ``as_text``.
     """
     paths = [(r.path, r.length) for r in files.select("path", "length").collect()]
-    small = [p for p, n in paths if 0 < n <= whole_file_limit]
-    large = [p for p, n in paths if n > whole_file_limit]
-    facts = _empty(spark, FINGERPRINT)
-    if small:
-        facts = facts.unionByName(_inspect_whole(spark, small, as_text))
-    if large and as_text:
-        facts = facts.unionByName(_inspect_lines(spark, large))
-    stamp = F.concat_ws(":", F.lit("stat"), "length", F.unix_millis("modified"))
-    otherwise = F.when(F.col("length") == 0, F.lit(EMPTY_MD5)).otherwise(stamp)
+    large = [p for p, n in paths if n > LARGEST_FILE]
+    if large:
+        raise ValueError(f"files of more than {LARGEST_FILE} bytes must be split into parts: {', '.join(large[:3])}")
+    filled = [p for p, n in paths if n > 0]
+    facts = _inspect_whole(spark, filled, as_text) if filled else _empty(spark, FINGERPRINT)
     joined = files.join(facts, "_file", "left")
-    return joined.withColumn("md5", F.coalesce("md5", otherwise))
+    return joined.withColumn("md5", F.coalesce("md5", F.lit(EMPTY_MD5)))
 
 
 def _first_line(text: Column) -> Column:
@@ -130,25 +125,6 @@ def _inspect_whole(spark: SparkSession, paths: list[str], as_text: bool) -> Data
         F.contains(readable, F.lit('"')).alias("has_quotes"))
 
 
-def _inspect_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The same for files too large for one value, from partial aggregates per task."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("at"),
-        "value",
-    )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return lines.groupBy("_file").agg(
-        F.lit(None).cast("string").alias("md5"),
-        F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
-        F.min_by(_first_line(F.col("value")), F.when(F.trim("value") != "", F.col("at"))).alias("header"),
-        F.bool_or(quotes % 2 == 1).alias("has_quotes"),
-    )
-
-
 def pending(files: DataFrame, ledger: DataFrame, terminal: Iterable[str] = ("success",)) -> DataFrame:
     """Fingerprinted files not yet recorded under this content with a terminal status."""
     done = ledger.where(F.col("status").isin(*terminal)).select(

@@ -13,34 +13,31 @@ REGION, CATEGORY, CITY = table("regions"), table("categories"), table("cities")
 HEAD = "region_id,region_name,city_id,delivery_base_fee\n"
 
 
-def facts(spark, folder, limit=files.WHOLE_FILE_LIMIT):
-    return files.fingerprint(spark, files.list_files(spark, str(folder)), whole_file_limit=limit).collect()
+def facts(spark, folder):
+    return files.fingerprint(spark, files.list_files(spark, str(folder))).collect()
 
 
-def read(spark, folder, spec, limit=files.WHOLE_FILE_LIMIT):
-    return [tuple(r)[2:] for r in csv_files.read_csv(spark, facts(spark, folder, limit), spec).orderBy("_file", "_order").collect()]
+def read(spark, folder, spec):
+    return [tuple(r)[2:] for r in csv_files.read_csv(spark, facts(spark, folder), spec).orderBy("_file", "_order").collect()]
 
 
-@pytest.mark.parametrize("limit", [files.WHOLE_FILE_LIMIT, 0])
-def test_long_lines_skipped_short_lines_padded(spark, tmp_path, limit):
+def test_long_lines_skipped_short_lines_padded(spark, tmp_path):
     (tmp_path / "r.csv").write_text(
         HEAD + "1,a,1,5\n2,b\n3,c,1,5,surplus\n4,d,1,5,\n5,e,1,5,,x\n\n6,\"f,g\",1,\"5\"\n7,\"h,,,,i\",1\n8,N/A,1,\n")
-    assert read(spark, tmp_path, REGION, limit) == [
+    assert read(spark, tmp_path, REGION) == [
         ("1", "a", "1", "5"), ("2", "b", None, None), ("6", "f,g", "1", "5"), ("7", "h,,,,i", "1", None),
         ("8", None, "1", None)]
 
 
-@pytest.mark.parametrize("limit", [files.WHOLE_FILE_LIMIT, 0])
-def test_quoted_newline_stays_in_its_field(spark, tmp_path, limit):
+def test_quoted_newline_stays_in_its_field(spark, tmp_path):
     (tmp_path / "c.csv").write_text('category_id,category_name\n1,"two\nlines"\n2,"say ""hi"""\n')
-    assert read(spark, tmp_path, CATEGORY, limit) == [("1", "two\nlines"), ("2", 'say "hi"')]
+    assert read(spark, tmp_path, CATEGORY) == [("1", "two\nlines"), ("2", 'say "hi"')]
 
 
-@pytest.mark.parametrize("limit", [files.WHOLE_FILE_LIMIT, 0])
-def test_encodings_and_column_order(spark, tmp_path, limit):
+def test_encodings_and_column_order(spark, tmp_path):
     (tmp_path / "1.csv").write_bytes("category_id,category_name\n1,café\n".encode("latin-1"))
     (tmp_path / "2.csv").write_bytes("﻿note,category_name,category_id\nx,thé,2\n".encode())
-    assert read(spark, tmp_path, CATEGORY, limit) == [("1", "café"), ("2", "thé")]
+    assert read(spark, tmp_path, CATEGORY) == [("1", "café"), ("2", "thé")]
 
 
 def test_missing_columns_and_empty_files(spark, tmp_path):
@@ -114,3 +111,10 @@ def test_json_texts_and_bad_files(spark, tmp_path):
     found = files.list_files(spark, str(tmp_path)).collect()
     assert [tuple(r)[2:] for r in json_files.read_json(spark, found, CITY).orderBy("_file", "_order").collect()] == [
         ("1", "x", None, None, None), ("2", "y", None, None, None), (None,) * 4 + ("Malformed JSON",)]
+
+
+def test_oversized_files_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LARGEST_FILE", 5)
+    (tmp_path / "x.csv").write_text("category_id,category_name\n")
+    with pytest.raises(ValueError, match="split into parts"):
+        facts(spark, tmp_path)
