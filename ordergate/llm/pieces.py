@@ -18,6 +18,7 @@ reads as a space. Very long chunks are segmented alone and not kept. Repeated ro
 
 from __future__ import annotations
 
+import gc
 import re
 
 import numpy as np
@@ -29,7 +30,7 @@ from ordergate.llm.frames import arrow_map
 from ordergate.llm.hashing import U, mix
 
 MARK = "▁"
-CACHE = 300_000
+CACHE = 600_000
 LONGEST = 64
 _VALUE = U(0x9E3779B97F4A7C15)
 
@@ -129,6 +130,15 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
+        collecting = gc.isenabled()
+        gc.disable()  # no cycles are made here, and the cache is slow to walk
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE:
             self.chunks.clear()
         split = [_CHUNK.findall((self.prefix + t).replace(" ", MARK)) if t else [] for t in texts]
@@ -145,9 +155,9 @@ class Pieces:
         known = self.chunks.__getitem__ if not extra else lambda c: self.chunks[c] if c in self.chunks else extra[c]
         return [b"".join(map(known, cs)) for cs in split]
 
-    def decode(self, ids: list[bytes]) -> list[str]:
+    def decode(self, ids: list[np.ndarray]) -> list[str]:
         look = self.bytes.__getitem__
-        texts = [b"".join(map(look, np.frombuffer(x, "<i4").tolist())).decode("utf-8", "replace") for x in ids]
+        texts = [b"".join(map(look, x.tolist())).decode("utf-8", "replace") for x in ids]
         return [t.removeprefix(self.prefix) for t in texts]
 
 
@@ -197,8 +207,9 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
     """``docs`` with the text that each ``ids`` stands for."""
 
     def run(column):
-        lists = column.to_pylist()
-        found = pieces_of(model).decode([np.array(x or [], "<i4").tobytes() for x in lists])
-        return pa.array([None if x is None else t for x, t in zip(lists, found, strict=True)], pa.string())
+        flat = column.flatten().fill_null(0).to_numpy()
+        ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy())
+        found = pieces_of(model).decode(np.split(flat, ends[:-1])) if len(ends) else []
+        return pa.array(found, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
 
     return _column_map(docs, ids, text, T.StringType(), run)
