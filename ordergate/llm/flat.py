@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordergate.llm.frames import arrow_map
+from ordergate.llm.frames import Scratch, arrow_map
 from ordergate.llm.tokens import word_pieces
 
 BLOCK_BYTES = 1 << 20
@@ -83,7 +83,8 @@ def _summaries(blocks: DataFrame, separator: int, width: int) -> DataFrame:
 def token_counts(blocks: DataFrame, separator: int, width: int = 2) -> DataFrame:
     """Rows (file, start, n_tokens, closed, doc_id) of every document: its place in its file, its tokens without the separator, and
     the id that ``ended`` gives for it (null without such a column)."""
-    rows = _summaries(blocks, separator, width).withColumns({"part": F.floor(F.col("block") / LEVEL), "last": F.element_at("ends", -1) + 1})
+    # kept, as it is read several times: one small row per block
+    rows = Scratch(blocks.sparkSession, "flat").keep(_summaries(blocks, separator, width)).withColumns({"part": F.floor(F.col("block") / LEVEL), "last": F.element_at("ends", -1) + 1})
     rows = rows.withColumn("last", F.when(F.size("ends") > 0, F.col("last")))
     inner = Window.partitionBy("file", "part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("n").over(inner), F.lit(0)))
