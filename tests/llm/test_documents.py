@@ -186,6 +186,22 @@ def test_near_passages(spark, prose, corner_docs):
     assert {5, 7, 10} <= {r["doc_id"] for r in whole.collect()}
 
 
+def around(prose, passage, seed):
+    return f"{prose(40, seed)} {' '.join(passage)} {prose(40, seed + 1)}"
+
+
+def test_near_passages_with_a_frequent_line(spark, prose, monkeypatch):
+    """Exact repetitions that hold a line of a third of all texts, whose windows meet at unrelated texts first."""
+    monkeypatch.setattr(passages, "BLOCK", 16, raising=False)
+    line = prose(30, 31).split()
+    docs = [(1000 + i, around(prose, line, 2000 + 2 * i)) for i in range(120)] + [(2000 + i, prose(110, 5000 + i)) for i in range(200)]
+    for n in range(30):
+        passage = prose(10, 6000 + n).split() + line + prose(10, 7000 + n).split()
+        docs += [(2 * n + k, around(prose, passage, 8000 + 4 * n + 2 * k)) for k in range(2)]
+    got = {(r["doc_id"], r["partner_id"]) for r in passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {(d, d ^ 1) for d in range(60)}
+
+
 # personal data
 
 def plain_pii(text):
