@@ -202,6 +202,17 @@ def test_near_passages_with_a_frequent_line(spark, prose, monkeypatch):
     assert got == {(d, d ^ 1) for d in range(60)}
 
 
+def test_near_passages_with_edits(spark, prose):
+    """Passages of 50 words with one changed: similarity 0.8 to 0.96, wherever the change is."""
+    docs = []
+    for n in range(500):
+        passage = prose(50, 20000 + n).split()
+        edited = [*passage[: n % 50], "swapped", *passage[n % 50 + 1 :]]
+        docs += [(2 * n, around(prose, passage, 30000 + 4 * n)), (2 * n + 1, around(prose, edited, 30002 + 4 * n))]
+    found = {r["doc_id"] for r in passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found == set(range(1000))
+
+
 # personal data
 
 def plain_pii(text):
