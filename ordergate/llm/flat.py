@@ -8,7 +8,8 @@ levels, so that a single huge file isn't one task's. Then the counts of all docu
 
 Edge cases: two separators in a row are an empty document (0 tokens); tokens after the last separator of a file are an
 open document (``closed`` false), unless there are none; empty files and blocks give nothing; null payloads are empty. A payload
-must hold whole ids. Blocks may repeat only if they are other files' blocks.
+must hold whole ids. Blocks may repeat only if they are other files' blocks. The separator must be an id that no text is encoded to
+(``SEPARATOR`` lies above the vocabulary); ``flat_blocks`` refuses a text that holds it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from ordergate.llm.tokens import word_pieces
 
 BLOCK_BYTES = 1 << 20
 LEVEL = 1024
+#: The largest 16-bit id. The id of ``<|endoftext|>`` won't do: a text may hold these letters.
+SEPARATOR = 0xFFFF
 
 
 def flat_files(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -49,7 +52,10 @@ def flat_blocks(docs: DataFrame, tokenizer: str, separator: int, block_bytes: in
             for at in range(0, len(batch), 250):
                 part = batch.slice(at, 250)
                 for doc, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    held.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes() + mark)
+                    ids = np.frombuffer(ids, "<u4")
+                    if (ids == separator).any() or (ids > 0xFFFF).any():
+                        raise ValueError(f"document {doc} has a token that is the separator {separator} or wider than 16 bits")
+                    held.append(ids.astype("<u2").tobytes() + mark)
                     size += len(held[-1])
                     while size > block_bytes:  # the document's separator lies beyond the cut
                         whole = b"".join(held)

@@ -37,8 +37,8 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted in flat token files made of the documents."""
-    blocks = flat.flat_blocks(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), separator=49407)
-    return flat.token_counts(blocks, separator=49407).select("doc_id", "n_tokens")
+    blocks = flat.flat_blocks(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), separator=flat.SEPARATOR)
+    return flat.token_counts(blocks, separator=flat.SEPARATOR).select("doc_id", "n_tokens")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

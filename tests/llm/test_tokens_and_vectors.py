@@ -8,7 +8,7 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ordergate.llm import flat, pieces, vectors
+from ordergate.llm import flat, pieces, queries, vectors
 
 SMALL = "/root/testdata/sf0.001"
 WORDS, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -57,6 +57,19 @@ def test_flat_counts(spark, corner_docs, size):
     assert got == {r["doc_id"]: len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs.collect()}
 
 
+def test_flat_counts_of_texts_with_the_end_mark(spark, tmp_path):
+    """A text may hold the letters of a special token."""
+    from tokenizers import Tokenizer
+
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "plain words", "<|startoftext|> x <|endoftext|> <|endoftext|>", "", None, "last"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in queries.op6_token_counts(spark, str(tmp_path)).collect())
+    tokenizer = Tokenizer.from_file(WORDS)
+    assert got == [(i, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts)]
+    with pytest.raises(Exception, match="is the separator"):
+        flat.flat_blocks(spark.createDataFrame([(1, "<|endoftext|>")], "doc_id long, text string"), WORDS, 49407).collect()
+
+
 def test_flat_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(flat, "LEVEL", 3)
     rng = np.random.default_rng(0)
