@@ -5,7 +5,8 @@ and read again for the next. All but the last return the columns of ``documents`
 
 1. ``language_id``: documents without letters, and those whose language the model is less sure of than
    ``MIN_SCORE``, go.
-2. ``near_dedup``: of each group linked by five-word shingles at similarity 0.8, the document with the smallest id stays.
+2. ``near_dedup``: of each group linked by five-word shingles at similarity 0.8, the row with the smallest id stays, null ids last. Rows are told apart
+   by id and text, so null ids and repeated ids are linked too; of equal rows one stays. Texts without words all stay.
 3. ``suffix_dedup``: every string of 400 bytes that starts more than once loses its bytes; documents of which nothing but
    white space is left go.
 4. ``pii``: personal data becomes ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]``.
@@ -18,7 +19,7 @@ classifier learns from the labelled documents of its own input that are not held
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordergate.llm import language, pii
@@ -39,8 +40,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_duplicates(docs, size=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(*COLUMNS)
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.where(worded).withColumn("uid", row_key())
+    groups = near_duplicates(rows, size=5, percent=80, id_="uid").select(F.col("doc_id").alias("uid"), "component_id").distinct()
+    ids = rows.select("uid", F.col("doc_id").alias("id")).distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "uid")).getField("uid")
+    stays = groups.join(ids, "uid").groupBy("component_id").agg(first.alias("uid")).select("uid")
+    # equal rows differ in the other columns at most
+    number = F.row_number().over(Window.partitionBy("uid").orderBy("lang", "source", "n_chars"))
+    kept = rows.join(stays, "uid", "left_semi").withColumn("number", number).where("number = 1")
+    return kept.select(*COLUMNS).union(docs.where(~worded).select(*COLUMNS))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

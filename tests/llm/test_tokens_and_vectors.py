@@ -162,6 +162,21 @@ def test_pipeline_stages(spark, corner_docs, tmp_path):
     assert clean.where("text rlike '[A-Za-z0-9]@[A-Za-z0-9]+[.]'").count() == 0 and clean.where("n_chars <> char_length(text)").count() == 0
 
 
+def test_pipeline_keeps_one_copy(spark, prose, tmp_path):
+    """Repeated rows, null ids and repeated ids: one row of each group reaches packing, and unique texts under a repeated id stay."""
+    twice, null, mixed, unique, other = (prose(150, 400 + i) for i in range(5))
+    rows = [(1, twice), (1, twice), (None, null), (None, null), (None, null), (None, mixed), (7, mixed), (3, mixed), (3, unique), (7, other), (None, None), (None, None), (8, " "), (8, " ")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, SMALL)
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted([(1, twice), (0, null), (3, mixed), (3, unique), (7, other), (0, ""), (0, ""), (8, " "), (8, " ")])
+    kept.write.parquet(str(tmp_path / "kept"))
+    docs = spark.read.parquet(str(tmp_path / "kept"))
+    stripped = corpus_pipeline.suffix_dedup(spark, docs, SMALL)
+    assert sorted(r["text"] for r in stripped.where("text rlike '[a-z]'").collect()) == sorted([twice, null, mixed, unique, other])
+    packed = corpus_pipeline.packing(spark, stripped.where("text rlike '[a-z]'"), SMALL)
+    assert sorted((r["doc_id"] or 0) for r in packed.where("piece = 0").collect()) == [0, 1, 3, 3, 7]
+
+
 def test_pipeline_of_nothing(spark, corner_docs):
     none = corner_docs.select(*corpus_pipeline.COLUMNS).where("false")
     assert [stage(spark, none, SMALL).count() for _, stage in corpus_pipeline.STAGES] == [0] * 5
