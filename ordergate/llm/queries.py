@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordergate.llm import flat, language, pieces, pii
+from ordergate.llm.copies import exact_duplicates
+from ordergate.llm.divergence import source_divergence
 from ordergate.llm.near import near_duplicates
 from ordergate.llm.packing import pack
 from ordergate.llm.passages import near_passages
 from ordergate.llm.suffix import stripped
 from ordergate.llm.vectors import approximate_top_k, exact_top_k
+from ordergate.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +73,18 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_duplicates": op2_near_duplicates,
@@ -81,6 +96,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_source_divergence": op13_source_divergence,
 }
 SQL: dict[str, str] = {
     "op2_near_duplicates": r"""
@@ -104,4 +122,41 @@ p AS (
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_exact_dedup": """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op13_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30),
+v AS (SELECT d.lang, count(DISTINCT k.term) AS v FROM d LEFT JOIN k ON k.lang = d.lang GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+g AS (
+  SELECT e.lang, e.source, coalesce(sum(c.n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) e LEFT JOIN c ON c.lang = e.lang AND c.source = e.source GROUP BY 1, 2),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (g.total + 5 * v.v) AS BIGINT) AS p
+  FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+l AS (
+  SELECT n.lang, n.term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n.n + 5)) // (t.total + 5 * v.v) AS BIGINT) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY 1, 2) n JOIN (SELECT lang, sum(total) AS total FROM g GROUP BY 1) t ON t.lang = n.lang
+  JOIN v ON v.lang = n.lang),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, p.p - l.q FROM p JOIN l ON l.lang = p.lang AND l.term = p.term WHERE p.n > 0 AND p.p > l.q),
+o AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM f)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 50""",
 }
