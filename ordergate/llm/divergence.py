@@ -34,7 +34,7 @@ from ordergate.llm.frames import Scratch, arrow_map, ship
 UNIT, SMOOTH = 1_000_000_000, 5
 MIN_DOCS, TOP = 30, 50
 SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-SLICE, HELD, CELLS = 4 << 20, 1 << 19, 1 << 20
+SLICE, HELD, CELLS = 4 << 20, 1 << 19, 1 << 16
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> list[pa.RecordBatch]:
