@@ -4,8 +4,8 @@ Character 1- to 3-grams of the lower-cased text are hashed to ``DIM`` features.
 are trained with follow-the-regularised-leader (FTRL-proximal) under an elastic net,
 which leaves most of them exactly zero; a temperature then calibrates the probabilities.
 
-Training reads about ``MAX_TRAIN`` labelled documents, a share of them by the hash of their
-id (the bound of the fitted sample; with fewer labelled documents it is all of them). Document frequencies for IDF are counted over all labelled documents given.
+Training reads about ``MAX_TRAIN`` labelled documents, a share of them by the hash of id and text, rows that repeat both being one
+(the bound of the fitted sample; with fewer labelled documents it is all of them). Document frequencies for IDF are counted over all labelled documents given.
 Prediction reads every whole text.
 
 Results for edge cases: a null text, a text without a letter (empty ones too), or a model that saw
@@ -171,10 +171,12 @@ def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", max_train: int = MAX_TRAIN) -> Model:
     """Learn from the labelled rows of ``docs``."""
     labelled = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label"), F.xxhash64(F.col(key).cast("string")).alias("h"))
+        F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label"),
+        F.xxhash64(F.col(key).cast("string"), F.col(text).cast("string")).alias("h"))
     df, total = document_frequencies(labelled)
     share = F.lit(int(2**40 * min(1.0, max_train / max(1, total))))
-    rows = labelled.where(F.pmod("h", F.lit(2**40)) < share).select("text", "label", "h")
+    # rows that repeat an id and text are one; tasks drop most of them before the shuffle
+    rows = labelled.where(F.pmod("h", F.lit(2**40)) < share).groupBy("h").agg(F.min(F.struct("label", "text")).alias("row")).select("row.text", "row.label", "h")
 
     # Distinct features of the sampled rows, made where the rows are; texts don't come to the driver.
     def sample(batches):

@@ -6,7 +6,7 @@ strings are judged on the input.
 
 How it is done on tables that no machine holds:
 
-1. *Anchors.* In any ``window`` (a quarter of ``length``) consecutive byte 16-grams, the one with the smallest hash is
+1. *Anchors.* In any ``window`` (``WINDOW``, or two fifths of a shorter ``length``) consecutive byte 16-grams, the one with the smallest hash is
    an anchor. Equal strings pick equal anchors, and a string whose anchor lies at ``a`` holds
    the ``length - window + 1`` bytes from ``a`` on: their hash is the anchor's key. A string can only
    repeat if its key does. Keys are counted with partial sums, so a passage in a
@@ -38,14 +38,14 @@ from pyspark.sql import functions as F
 from ordergate.llm.frames import Scratch, arrow_map, map_rows
 from ordergate.llm.hashing import BYTE_VALUES, U, Prefix, mix, sliding, text_slices
 
-GRAM = 16
+GRAM, WINDOW = 16, 96
 SHARD_CONTEXTS = 512
 SHARD_SYMBOLS = 1 << 18
 MERGED_LENGTH = 400
 
 
 def _window(length: int) -> int:
-    return max(1, length * 6 // 25)
+    return max(1, min(WINDOW, length * 2 // 5))
 
 
 def row_key(id_: str = "doc_id", text: str = "text") -> Column:
