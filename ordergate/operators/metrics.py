@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordergate.functions.rounding import ratio
-from ordergate.registry import QUALITY_LOG_SCHEMA
+from ordergate.registry import ALERT_SCHEMA, QUALITY_LOG_SCHEMA
 
 SUCCESS, SKIPPED, FAILED = "success", "skipped", "failed"
 
@@ -54,6 +54,29 @@ def quality_log_rows(
     return stats.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in QUALITY_LOG_SCHEMA])
 
 
+ORPHAN_RATE, FILE_FAILED = "orphan_rate", "file_failed"
+
+
+def alert_rows(outcomes: DataFrame, run_date: str, run_timestamp: str, threshold: float) -> DataFrame:
+    """Alerts of a run from its file outcomes (table_name, _file, status, error, orphan_count, tested): files that failed, and
+    files whose unrounded share of rows without a parent is above the threshold."""
+    failed = F.col("status") == FAILED
+    rate = F.col("orphan_count") / F.nullif(F.col("tested"), F.lit(0))
+    values = {
+        "run_date": F.lit(run_date),
+        "run_timestamp": F.lit(run_timestamp),
+        "kind": F.when(failed, FILE_FAILED).otherwise(ORPHAN_RATE),
+        "table_name": F.col("table_name"),
+        "source_file": F.col("_file"),
+        "affected_rows": F.when(~failed, F.col("orphan_count")),
+        "total_rows": F.when(~failed, F.col("tested")),
+        "message": F.when(failed, F.concat(F.lit("not loaded: "), F.col("error"))).otherwise(F.format_string(
+            "%.1f%% of the rows refer to nothing known; %.1f%% are tolerated", rate * 100, F.lit(threshold * 100.0))),
+    }
+    needed = failed | F.coalesce(rate > threshold, F.lit(False))
+    return outcomes.where(needed).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in ALERT_SCHEMA])
+
+
 def daily_summary(quality_log: DataFrame, run_date: str) -> DataFrame:
     return quality_log.where(F.col("run_date") == F.lit(run_date).cast("date")).orderBy(
         "run_timestamp", "table_name", "source_file")

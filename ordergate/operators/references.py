@@ -8,8 +8,8 @@ split ahead of time for clusters that run without adaptive skew handling.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,16 +23,35 @@ ORPHAN, ORPHAN_COLUMN, ORPHAN_VALUE = "_orphan", "_orphan_column", "_orphan_valu
 DEFAULT_ORPHAN_THRESHOLD = 0.05
 
 
+@dataclass(frozen=True)
+class Keys:
+    """Keys of a parent. ``near`` gives only those that may equal one of a column of values; ``some`` says whether
+    there are any at all, where that is known without looking."""
+
+    frame: DataFrame
+    near: Callable[[DataFrame], DataFrame] | None = None
+    some: bool = False
+
+
 @dataclass(frozen=True)
 class KeyCheck:
     """One membership test. ``since`` names a column of ``keys`` that holds the
-    first slot a key is known from; the row's own slot must not be earlier."""
+    first slot a key is known from; the row's own slot must not be earlier.
+    ``near`` and ``some`` are those of :class:`Keys`."""
 
     column: str
     keys: DataFrame
     label: str
     null_passes: bool = False
     since: str | None = None
+    near: Callable[[DataFrame], DataFrame] | None = None
+    some: bool = False
+
+    def narrowed(self, rows: DataFrame) -> KeyCheck:
+        """The same test of ``rows``, with no more keys than they may need."""
+        if self.near is None or self.column not in rows.columns:
+            return self
+        return replace(self, keys=self.near(rows.select(self.column)), near=None)
 
 
 def known_keys(dimension: DataFrame, key: str, unique: bool = False) -> DataFrame:
@@ -43,6 +62,8 @@ def known_keys(dimension: DataFrame, key: str, unique: bool = False) -> DataFram
 
 def _any_known(check: KeyCheck, slot: str | None) -> Column:
     """True once there is any key at all: an empty parent switches the check off."""
+    if check.some:
+        return F.lit(True)
     if check.since is None:
         some = check.keys.select(F.lit(1).alias("one")).limit(1)
         return some.agg(F.count("one")).scalar() > 0
@@ -121,25 +142,25 @@ def key_text(df: DataFrame, column: str) -> Column:
     return col.cast("string")
 
 
+def _check(column: str, keys: DataFrame | Keys, label: str, **more) -> KeyCheck:
+    if isinstance(keys, Keys):
+        return KeyCheck(column, keys.frame, label, near=keys.near, some=keys.some, **more)
+    return KeyCheck(column, keys, label, **more)
+
+
 def fact_checks(
     references: Sequence[tuple[str, str, str]],
-    parents: Mapping[str, DataFrame],
+    parents: Mapping[str, DataFrame | Keys],
     since: str | None = None,
 ) -> list[KeyCheck]:
     """Checks for (column, parent, label) triples; ``parents`` maps a parent to its keys."""
-    return [
-        KeyCheck(
-            column, parents[parent], label,
-            since=since if since and since in parents[parent].columns else None,
-        )
-        for column, parent, label in references
-        if parent in parents
-    ]
+    checks = [_check(column, parents[parent], label) for column, parent, label in references if parent in parents]
+    return [replace(c, since=since) if since and since in c.keys.columns else c for c in checks]
 
 
-def declared_checks(spec: TableSpec, parents: Mapping[str, DataFrame]) -> list[KeyCheck]:
+def declared_checks(spec: TableSpec, parents: Mapping[str, DataFrame | Keys]) -> list[KeyCheck]:
     return [
-        KeyCheck(column, parents[parent], label, null_passes=True)
+        _check(column, parents[parent], label, null_passes=True)
         for column, parent, label in declared_references(spec)
         if parent in parents
     ]
@@ -178,6 +199,12 @@ def orphan_rate(orphans: Column, total: Column) -> Column:
     return F.coalesce(ratio(orphans, total, digits=4), F.lit(0.0))
 
 
+def warehouse_keys(warehouse, name: str) -> Keys:
+    """The keys a warehouse table has, by its key index."""
+    many = warehouse.buckets(name) > 1
+    return Keys(warehouse.keys(name), (lambda values: warehouse.keys(name, values)) if many else None, warehouse.has_keys(name))
+
+
 def orphan_alerts(
     stats: DataFrame, table_name: str, threshold: float = DEFAULT_ORPHAN_THRESHOLD
 ) -> DataFrame:

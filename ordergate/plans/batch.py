@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordergate.operators.metrics import FAILED
-from ordergate.operators.references import declared_checks
-from ordergate.plans.table_job import STATUS_COLUMNS, Run, TableResult, record, run_table_apart
+from ordergate.operators.references import declared_checks, warehouse_keys
+from ordergate.plans.table_job import STATUS_COLUMNS, Run, TableResult, at_once, record, run_table_apart
 from ordergate.registry import BATCH_FILES, TABLES, declared_references
 from ordergate.session import local_frame
 from ordergate.sources.files import batch_files
@@ -50,18 +50,19 @@ def run_batch(
 ) -> DataFrame:
     """Load a day's snapshot; returns one status row per file.
 
-    Tables that do not refer to each other are submitted side by side.
-    ``tables`` limits the run to some tables of the manifest.
+    Tables that do not refer to each other are submitted side by side, and all of them
+    become visible by one commit. ``tables`` limits the run to some tables of the manifest.
     """
+    return at_once(run, lambda inside: _run_batch(inside, batch_dir, tables, parallel))
+
+
+def _run_batch(run: Run, batch_dir: str, tables: list[str] | None, parallel: int) -> DataFrame:
     formats = {name: fmt for name, _, fmt in BATCH_FILES if tables is None or name in tables}
     found = batch_files(run.spark, batch_dir, run.run_date).where(F.col("table_name").isin(*formats))
 
     def load(name: str) -> TableResult | None:
         spec = TABLES[name]
-        parents = {
-            parent: run.warehouse.read(parent).select(TABLES[parent].key)
-            for _, parent, _ in declared_references(spec)
-        }
+        parents = {parent: warehouse_keys(run.warehouse, parent) for _, parent, _ in declared_references(spec)}
         return run_table_apart(run, found, spec, formats[name], declared=declared_checks(spec, parents))
 
     statuses = []

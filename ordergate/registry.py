@@ -255,6 +255,18 @@ QUALITY_LOG_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
 ])
 
+# What needs someone's attention after a run.
+ALERT_SCHEMA = T.StructType([
+    T.StructField("run_date", T.DateType()),
+    T.StructField("run_timestamp", T.TimestampNTZType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("table_name", T.StringType()),
+    T.StructField("source_file", T.StringType()),
+    T.StructField("affected_rows", T.LongType()),
+    T.StructField("total_rows", T.LongType()),
+    T.StructField("message", T.StringType()),
+])
+
 
 def table(name: str) -> TableSpec:
     """Look a table up by source or warehouse name; unknown names are an error."""

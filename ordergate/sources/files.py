@@ -14,7 +14,7 @@ from ordergate.registry import BATCH_FILES, STREAM_FILES
 from ordergate.session import local_frame
 
 # A file's content is hashed and inspected as one value, which Spark bounds. Larger
-# deliveries come as a folder of parts.
+# deliveries come as a folder of parts; a larger file fails, alone.
 LARGEST_FILE = 2**31 - 1024
 
 FILE_COLUMNS = (
@@ -85,6 +85,7 @@ def stream_files(spark: SparkSession, stream_dir: str, run_date: str) -> DataFra
 
 FINGERPRINT = "_file string, md5 string, is_utf8 boolean, header string, has_quotes boolean"
 EMPTY_MD5 = "d41d8cd98f00b204e9800998ecf8427e"
+OVERSIZED = "oversized"
 
 
 def fingerprint(
@@ -96,14 +97,15 @@ def fingerprint(
     content changed, how is it encoded, what is its first line. The last three
     are only asked ``as_text``.
     """
-    paths = [(r.path, r.length) for r in files.select("path", "length").collect()]
-    large = [p for p, n in paths if n > LARGEST_FILE]
-    if large:
-        raise ValueError(f"files of more than {LARGEST_FILE} bytes must be split into parts: {', '.join(large[:3])}")
-    filled = [p for p, n in paths if n > 0]
+    filled = [r.path for r in files.where(F.col("length").between(1, LARGEST_FILE)).select("path").collect()]
     facts = _inspect_whole(spark, filled, as_text) if filled else _empty(spark, FINGERPRINT)
     joined = files.join(facts, "_file", "left")
-    return joined.withColumn("md5", F.coalesce("md5", F.lit(EMPTY_MD5)))
+    return joined.withColumn("md5", F.when(too_large(), OVERSIZED).otherwise(F.coalesce("md5", F.lit(EMPTY_MD5))))
+
+
+def too_large() -> Column:
+    """Files that can't be hashed, nor read: they have no content hash and an error of their own."""
+    return F.col("length") > LARGEST_FILE
 
 
 def _first_line(text: Column) -> Column:

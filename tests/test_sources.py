@@ -2,7 +2,6 @@
 
 import hashlib
 
-import pytest
 
 from ordergate import table
 from ordergate.session import local_frame
@@ -113,8 +112,9 @@ def test_json_texts_and_bad_files(spark, tmp_path):
         ("1", "x", None, None, None), ("2", "y", None, None, None), (None,) * 4 + ("Malformed JSON",)]
 
 
-def test_oversized_files_are_refused(spark, tmp_path, monkeypatch):
+def test_oversized_files_have_no_content_hash(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "LARGEST_FILE", 5)
     (tmp_path / "x.csv").write_text("category_id,category_name\n")
-    with pytest.raises(ValueError, match="split into parts"):
-        facts(spark, tmp_path)
+    (tmp_path / "y.csv").write_text("a,b\n")
+    found = {r["_file"][-5:]: (r.md5, r.header) for r in facts(spark, tmp_path)}
+    assert found["x.csv"] == (files.OVERSIZED, None) and found["y.csv"][1] == "a,b" and len(found["y.csv"][0]) == 32

@@ -4,6 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from ordergate import warehouse
 from ordergate.warehouse import Warehouse
 
 
@@ -66,3 +67,64 @@ def test_compaction_keeps_rows(spark, tmp_path):
     before = content(wh)
     wh.compact("ticket_events")
     assert len(folders(wh)["2026-01-01"]) == 1 and content(wh) == before
+
+
+def index_of(wh):
+    return sorted((r.event_id, r["at"]) for r in wh.key_parts("ticket_events").collect())
+
+
+def test_key_index_follows_the_table(spark, tmp_path, monkeypatch):
+    """Buckets double, folders are joined, keys move: the index still says where each key is."""
+    monkeypatch.setattr(warehouse, "BUCKET_KEYS", 5)
+    monkeypatch.setattr(warehouse, "BUCKET_FOLDERS", 2)
+    wh, want = Warehouse(spark, f"{tmp_path}/wh"), {}
+    for day in range(1, 6):
+        rows = [(f"e{day}-{i}", "Open", f"2026-01-{day:02d}") for i in range(6)] + [("mover", "Open", f"2026-01-{day:02d}")]
+        assert wh.upsert("ticket_events", events(spark, *rows)) == 7
+        want |= {k: ("Open", d) for k, _, d in rows}
+        assert content(wh) == want
+        assert {k for k, _ in index_of(wh)} == set(want) and {(k, d) for k, (_, d) in want.items()} <= set(index_of(wh))
+        assert sorted(r.event_id for r in wh.keys("ticket_events").collect()) == sorted(want)
+    assert wh.buckets("ticket_events") >= 8
+    assert {p: len(f) for p, f in folders(wh).items()}["2026-01-05"] == 1
+
+
+def test_files_of_a_small_load_do_not_grow_with_days(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouse, "BUCKET_KEYS", 4)
+    monkeypatch.setattr(warehouse, "BUCKET_FOLDERS", 3)
+    wh, few = Warehouse(spark, f"{tmp_path}/wh"), spark.createDataFrame([("e1-1",), ("none",)], "k string")
+    days = [(f"e{d}-{i}", "Open", f"2026-{1 + d // 28:02d}-{1 + d % 28:02d}") for d in range(60) for i in range(3)]
+    counts = []
+    for low in (0, 90):
+        wh.upsert("ticket_events", events(spark, *days[low : low + 90]))
+        counts.append(len(wh.key_parts("ticket_events", few).inputFiles()))
+    assert len(folders(wh)) == 60 and max(counts) <= 2 * (warehouse.BUCKET_FOLDERS + 1)
+    found = {(r.event_id, r["at"]) for r in wh.key_parts("ticket_events", few).collect()}
+    assert ("e1-1", "2026-01-02") in found and len(found) < 180 / 4
+    before = folders(wh)
+    wh.upsert("ticket_events", events(spark, ("e1-1", "Closed", "2026-01-02")))
+    assert [p for p in before if folders(wh)[p] != before[p]] == ["2026-01-02"]
+    # an index that is not there is made when it is needed
+    monkeypatch.setattr(warehouse, "_index", lambda spec: f"{spec.warehouse_name}_keys2")
+    wh.upsert("ticket_events", events(spark, ("e2-1", "Closed", "2026-01-03")))
+    assert wh.keys("ticket_events").count() == 180 and content(wh)["e2-1"][0] == "Closed"
+
+
+def test_ledger_days_are_added_to_and_joined(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouse, "LEDGER_FOLDERS", 3)
+    wh = Warehouse(spark, f"{tmp_path}/wh")
+
+    def record(minute, *entries):
+        rows = [(f"in/{path}", "m", f"2026-01-01 00:{minute:02d}:00", status, minute, 0) for path, status in entries]
+        df = spark.createDataFrame(rows, "file_path string, md5_hash string, processed_at string, status string, rows_loaded long, rows_rejected long")
+        wh.record_files(df.withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz")))
+
+    record(0, ("2026-01-01/a", "failed"), ("2026-01-02/a", "success"), ("x", "skipped"))
+    old = wh._folders("file_ledger")[1]["2026-01-01"]
+    for minute in range(1, 6):
+        record(minute, ("2026-01-02/a", "success"), ("2026-01-02/b", "failed"))
+    now = wh._folders("file_ledger")[1]
+    assert now["2026-01-01"] == old and len(now["2026-01-02"]) <= 3 and "all" in now
+    assert {(r.file_path, r.status, r.rows_loaded) for r in wh.ledger().collect()} == {
+        ("in/2026-01-01/a", "failed", 0), ("in/x", "skipped", 0), ("in/2026-01-02/a", "success", 5), ("in/2026-01-02/b", "failed", 5)}
+    assert {r.file_path for r in wh.ledger("2026-01-01").collect()} == {"in/2026-01-01/a"}
