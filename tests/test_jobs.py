@@ -279,3 +279,124 @@ def test_watch_survives_a_failing_scan(spark, tmp_path, monkeypatch):
     put(tmp_path / "stream" / DAY / "23" / "orders.json", [order("late")])
     watch(run, str(tmp_path / "stream"), str(tmp_path / "ckpt"), poll_seconds=None, on_status=seen.append).awaitTermination()
     assert run.warehouse.read("orders").count() > 1 and seen
+
+
+class Killed(BaseException):
+    """The process ends: nothing catches this, and nothing is cleaned up."""
+
+
+def lookups(root):
+    """A snapshot of two tables in which rows are loaded, rejected and refused, and a file fails."""
+    day = root / "batch" / DAY
+    put(day / "cities.json", [{"city_id": i, "city_name": f"c{i}", "country": "EG", "timezone": "x"} for i in (1, 2)] + [{"city_id": 3, "city_name": None, "country": "", "timezone": ""}])
+    put(day / "regions.csv", "region_id,region_name,city_id,delivery_base_fee\n1,North,1,10\n2,South,1,-5\n3,East,9,5\n")
+    put(day / "teams.csv", "team_id\n1\n")
+
+
+def left_by(spark, root):
+    """All that runs have left: rows of the warehouse, ledger, audit, alerts and quarantine (without names of this root, and times)."""
+    wh = Warehouse(spark, f"{root}/wh")
+    plain = lambda df: sorted(str(tuple(r)).replace(str(root), "") for r in df.drop("processing_latency_ms").collect())
+    bad = {(t, r): plain(rows) for t in ("cities", "regions") for r in ("data_validation", "warehouse_constraint")
+           if (rows := wh.quarantined(t, r)) is not None}
+    return [*(plain(wh.read(t)) for t in ("cities", "regions", "teams")), plain(wh.ledger()), plain(wh.quality_log()), plain(wh.alerts()), bad]
+
+
+def test_a_run_that_is_lost_leaves_nothing_and_repeats_nothing(spark, tmp_path, monkeypatch):
+    """Killed after each of its steps and started again, a run leaves what an undisturbed one does."""
+    from ordergate import commits, storage
+    from ordergate.operators import quarantine
+    from ordergate.warehouse import Transaction
+
+    def load(root):
+        return run_batch(make_run(spark, root, run_timestamp="2026-02-22 12:00:00"), f"{root}/batch", ["cities", "regions", "teams"], parallel=1)
+
+    lookups(tmp_path / "calm")
+    load(tmp_path / "calm")
+    want = left_by(spark, tmp_path / "calm")
+    assert [bool(w) for w in want] == [True, True, False, True, True, True, True] and len(want[-1]) == 3
+    steps = [(Transaction, "upsert"), (quarantine, "write"), (Transaction, "append_quality"), (Transaction, "record_files"),
+             (storage.Storage, "create"), (commits.CommitLog, "commit")]
+    for where, step in steps:
+        root = tmp_path / step
+        lookups(root)
+        real, done = getattr(where, step), []
+
+        def last_breath(*args, real=real, done=done, **more):
+            if step == "create":  # the commit file itself
+                raise Killed
+            result = real(*args, **more)
+            done.append(1)
+            raise Killed
+
+        with monkeypatch.context() as m:
+            m.setattr(where, step, last_breath)
+            with pytest.raises(Killed):
+                load(root)
+        after = left_by(spark, root)
+        assert after == (want if step == "commit" else [[], [], [], [], [], [], {}]), step
+        again = {Path(r["_file"]).name: r.status for r in load(root).collect()}
+        assert again["teams.csv"] == "failed" and again["cities.json"] == ("already_processed" if step == "commit" else "success")
+        if step != "commit":  # there the file that failed is tried, and audited, again
+            assert left_by(spark, root) == want, step
+
+
+def test_alerts_of_a_run(spark, loaded):
+    alerts = {(r.kind, r.source_file.split(f"/{DAY}/")[1]): (r.affected_rows, r.total_rows) for r in Warehouse(spark, f"{loaded[0]}/wh").alerts().collect()}
+    assert alerts == {("file_failed", "12/ticket_events.json"): (None, None), ("orphan_rate", "08/orders.json"): (1, 2),
+                      ("orphan_rate", "08/tickets.csv"): (1, 2), ("orphan_rate", "08/ticket_events.json"): (1, 2)}
+
+
+def test_committed_quarantine_and_removed_staging(spark, loaded):
+    root = loaded[0]
+    bad = Warehouse(spark, f"{root}/wh").quarantined("orders", "orphan_reference", DAY)
+    assert [(r.order_id, r.orphan_fk_col) for r in bad.collect()] == [("o2", "customer_id")]
+    assert Warehouse(spark, f"{root}/wh").quarantined("orders", "orphan_reference", "2000-01-01") is None
+    assert all(p.name.endswith("-files") for run in (root / "staging").iterdir() for p in run.iterdir())
+
+
+def test_an_oversized_file_fails_alone(spark, tmp_path, monkeypatch):
+    """A part that is too large beside a loaded one: the loaded one's ledger row stays, other parts load, nothing is loaded twice."""
+    from ordergate.sources import files
+
+    day = tmp_path / "batch" / DAY / "categories.csv"
+    put(day / "a.csv", "category_id,category_name\n1,Grill\n")
+    load = lambda: {Path(r["_file"]).name: (r.status, r.rows_loaded, r.error) for r in run_batch(make_run(spark, tmp_path), f"{tmp_path}/batch", ["categories"]).collect()}
+    assert load()["a.csv"][:2] == ("success", 1)
+    ledger = lambda: {Path(r.file_path).name: (r.status, r.md5_hash) for r in make_run(spark, tmp_path).warehouse.ledger().collect()}
+    before = ledger()["a.csv"]
+    put(day / "b.csv", "category_id,category_name\n2,Fish\n" + "3,Soup\n" * 40)
+    put(day / "c.csv", "category_id,category_name\n4,Cake\n")
+    with monkeypatch.context() as m:
+        m.setattr(files, "LARGEST_FILE", 100)
+        found = load()
+        assert found["a.csv"][0] == "already_processed" and found["c.csv"][:2] == ("success", 1)
+        assert found["b.csv"][0] == "failed" and "folder of parts" in found["b.csv"][2]
+        assert ledger()["a.csv"] == before and ledger()["b.csv"][0] == "failed"
+        assert load()["b.csv"][0] == "failed"
+    log = make_run(spark, tmp_path).warehouse.quality_log()
+    assert sorted(Path(r.source_file).name for r in log.collect()) == ["a.csv", "c.csv"]
+    assert load()["b.csv"][:2] == ("success", 2)
+    assert {r.category_id for r in make_run(spark, tmp_path).warehouse.read("categories").collect()} == {1, 2, 3, 4}
+
+
+def test_checks_read_only_the_buckets_they_need(spark, tmp_path, monkeypatch):
+    """With many buckets the same rows pass and fail, and keys of a parent are read by the values at hand."""
+    from ordergate import warehouse
+    from ordergate.operators.references import warehouse_keys
+
+    monkeypatch.setattr(warehouse, "BUCKET_KEYS", 1)
+    slots(tmp_path)
+    run = make_run(spark, tmp_path)
+    for name, key, ids in (("customers", "customer_id", (1, 3, 5, 7)), ("agents", "agent_id", (1, 2, 3))):
+        run.warehouse.upsert(name, spark.createDataFrame([(i,) for i in ids], f"{key} int"))
+    assert run.warehouse.buckets("customers") > 1
+    stream = status_by_file(run_once(make_run(spark, tmp_path), f"{tmp_path}/stream"))
+    assert (stream["08/orders.json"], stream["08/tickets.csv"], stream["10/tickets.csv"]) == (("success", 1, 3), ("success", 1, 1), ("success", 1, 0))
+    near = spark.createDataFrame([("o1",), ("nothing",)], "k string")
+    keys = warehouse_keys(run.warehouse, "orders")
+    assert keys.some and {r.order_id for r in keys.near(near).collect()} >= {"o1"}
+    assert len(keys.near(near).inputFiles()) <= 2 <= run.warehouse.buckets("orders")
+    put(tmp_path / "stream" / DAY / "14" / "tickets.csv", TICKET_HEADER + ticket("t8", "o9") + ticket("t9", "o77") + ticket("t10", "o1", agent=4))
+    later = status_by_file(run_once(make_run(spark, tmp_path), f"{tmp_path}/stream"))
+    assert later["14/tickets.csv"] == ("success", 1, 2)
