@@ -267,6 +267,23 @@ RAW = {
         "SELECT 'batch/2026-02-20/categories.csv' AS _file, CAST(0 AS BIGINT) AS _order, "
         "replace(p_brand, 'Brand#', '') AS category_id, p_brand AS category_name "
         "FROM (SELECT DISTINCT p_brand FROM $part) s"),
+    "teams": lambda d: (
+        f"SELECT 'batch/2026-02-20/teams.csv' AS _file, CAST(t AS BIGINT) AS _order, {_s('t')} AS team_id, 'team ' || {_s('t')} AS team_name "
+        f"FROM (SELECT DISTINCT 1 + s_suppkey % 4 AS t FROM $supplier) s"),
+    "reason_categories": lambda d: (
+        f"SELECT 'batch/2026-02-20/reason_categories.csv' AS _file, CAST(r_regionkey AS BIGINT) AS _order, "
+        f"{_s('r_regionkey')} AS reason_category_id, r_name AS category_name FROM $region"),
+    "reasons": lambda d: (
+        f"SELECT 'batch/2026-02-20/reasons.csv' AS _file, CAST(n_nationkey AS BIGINT) AS _order, {_s('n_nationkey + 1')} AS reason_id, "
+        f"n_name AS reason_name, {_s('CASE WHEN n_nationkey % 10 = 6 THEN 77 ELSE n_regionkey END')} AS reason_category_id, "
+        f"{_s('CASE WHEN n_nationkey % 10 = 9 THEN 7 ELSE 1 + n_nationkey % 5 END')} AS severity_level, '0.5' AS typical_refund_pct FROM $nation"),
+    "channels": lambda d: (
+        f"SELECT 'batch/2026-02-20/channels.csv' AS _file, CAST(r_regionkey AS BIGINT) AS _order, {_s('r_regionkey + 1')} AS channel_id, "
+        f"CASE WHEN r_regionkey = 3 THEN '' ELSE r_name END AS channel_name FROM $region"),
+    "priorities": lambda d: (
+        "SELECT 'batch/2026-02-20/priorities.csv' AS _file, CAST(0 AS BIGINT) AS _order, substr(p, 1, 1) AS priority_id, "
+        "'P' || substr(p, 1, 1) AS priority_code, substr(p, 3) AS priority_name, substr(p, 1, 1) AS sla_first_response_min, "
+        "'15' AS sla_resolution_min FROM (SELECT DISTINCT o_orderpriority AS p FROM $orders) s"),
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,15 +159,14 @@ def json_scan(spark, sf_dir):
 
 
 def _batch_folder(spark, sf_dir):
-    """A day's snapshot of the tables that the given data can fill."""
+    """A day's snapshot of all tables of the manifest."""
     def make(folder):
         for name, filename, fmt in BATCH_FILES:
-            if name in _BATCH_TABLES:
-                fx.write_table(raw(spark, sf_dir, name), name, fmt, filename, folder, RUN_DATE)
+            fx.write_table(raw(spark, sf_dir, name), name, fmt, filename, folder, RUN_DATE)
     return fx.once(spark, sf_dir, "batch", make)
 
 
-_BATCH_TABLES = ("cities", "regions", "segments", "categories", "customers", "restaurants", "drivers", "agents")
+_BATCH_TABLES = tuple(name for name, _, _ in BATCH_FILES)
 
 
 @query
@@ -821,3 +821,83 @@ def stream_watch_once(spark, sf_dir):
         raw(spark, sf_dir, "orders"), "orders", "json", "orders.json", f, RUN_DATE))
     watch(run, folder, scratch_folder(spark, "watch"), poll_seconds=None).awaitTermination()
     return run.warehouse.read("orders").select("order_id", "customer_id", "order_status", "total_amount")
+
+
+# What a whole day leaves: all thirteen tables, then the day's slots ------------------------
+
+def _day(spark, sf_dir):
+    """The warehouse after the snapshot and the scan of one day, run once per session."""
+    def make(folder):
+        batch.run_batch(_run(spark, folder), _batch_folder(spark, sf_dir))
+        run_once(_run(spark, folder), _stream_folder(spark, sf_dir))
+    return _run(spark, fx.once(spark, sf_dir, "day", make)).warehouse
+
+
+def _table_and_slot(file):
+    """Which table and slot a delivered file belongs to, by the manifests; snapshot files have no slot."""
+    name = F.lit(None).cast("string")
+    for table, filename, _ in (*BATCH_FILES, *STREAM_FILES):
+        name = F.when(F.col(file).contains(f"/file={filename}/"), table).otherwise(name)
+    return {"table_name": name, "slot": F.regexp_extract(file, "/slot=([0-9]+)/", 1)}
+
+
+@query
+def job_quality_log(spark, sf_dir):
+    counters = ("total_records", "valid_records", "rejected_records", "duplicate_count", "null_violation_count",
+                "invalid_format_count", "orphan_count")
+    log = _day(spark, sf_dir).quality_log().withColumn("slot", _table_and_slot("source_file")["slot"])
+    return log.groupBy("table_name", "slot", "status").agg(*[F.sum(c).alias(c) for c in counters])
+
+
+def _day_files(spark, sf_dir):
+    return _day(spark, sf_dir).ledger().withColumns(_table_and_slot("file_path"))
+
+
+@query
+def job_ledger(spark, sf_dir):
+    return _day_files(spark, sf_dir).groupBy("table_name", "slot", "status").agg(
+        F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"))
+
+
+@query
+def job_quarantine(spark, sf_dir):
+    found = []
+    for name in TABLES:
+        for reason in (quarantine.DATA_VALIDATION, quarantine.ORPHAN_REFERENCE, quarantine.CONSTRAINT):
+            rows = _day(spark, sf_dir).quarantined(name, reason, RUN_DATE)
+            if rows is not None:
+                column = F.col("orphan_fk_col") if "orphan_fk_col" in rows.columns else F.lit(None).cast("string")
+                found.append(rows.select(F.lit(name).alias("table_name"), F.lit(reason).alias("reason"), "rejection_detail", column.alias("orphan_fk_col")))
+    return functools.reduce(DataFrame.unionByName, found).groupBy("table_name", "reason", "rejection_detail", "orphan_fk_col").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def job_alerts(spark, sf_dir):
+    alerts = _day(spark, sf_dir).alerts().withColumn("slot", _table_and_slot("source_file")["slot"])
+    return alerts.groupBy("kind", "table_name", "slot").agg(
+        F.sum("affected_rows").alias("affected_rows"), F.sum("total_rows").alias("total_rows"))
+
+
+@query
+def job_star_counts(spark, sf_dir):
+    warehouse = _day(spark, sf_dir)
+    return reports.row_counts({spec.warehouse_name: warehouse.read(name) for name, spec in TABLES.items()})
+
+
+@query
+def job_key_index(spark, sf_dir):
+    """Keys by the index, which must be those of the table."""
+    warehouse = _day(spark, sf_dir)
+    return reports.row_counts({spec.warehouse_name: warehouse.keys(name) for name, spec in TABLES.items()})
+
+
+@query
+def job_summaries(spark, sf_dir):
+    """The summaries of the snapshot and of the scan, by slot and in all."""
+    files = _day_files(spark, sf_dir)
+    scanned = files.where("slot <> ''")
+    by_slot = metrics.stream_summary_by_slot(scanned).unionByName(
+        metrics.stream_summary(scanned).withColumn("slot", F.lit("all")))
+    loaded = metrics.batch_summary(files.where("slot = ''")).select(F.lit("snapshot").alias("slot"), "total_rows_loaded", "total_rows_rejected")
+    return by_slot.unionByName(loaded, allowMissingColumns=True)

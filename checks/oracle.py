@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.adapters import duck
-from checks.catalog import BAD_LINE, RUN_DATE, RUN_TIME, _BATCH_TABLES
+from checks.catalog import _BATCH_TABLES, BAD_LINE, RUN_DATE, RUN_TIME
 
 SQL: dict[str, str] = {}
 
@@ -19,6 +19,16 @@ NUMBERS = {
     "tickets": ("customer_id", "driver_id", "restaurant_id", "agent_id", "reason_id", "priority_id", "channel_id",
                 "refund_amount"),
     "ticket_events": ("agent_id",),
+    "cities": ("city_id",),
+    "regions": ("region_id", "city_id", "delivery_base_fee"),
+    "segments": ("segment_id", "discount_pct"),
+    "categories": ("category_id",),
+    "teams": ("team_id",),
+    "reason_categories": ("reason_category_id",),
+    "reasons": ("reason_id", "reason_category_id", "severity_level", "typical_refund_pct"),
+    "channels": ("channel_id",),
+    "priorities": ("priority_id", "sla_first_response_min", "sla_resolution_min"),
+    "restaurants": ("restaurant_id", "region_id", "category_id", "rating_avg", "prep_time_avg_min"),
 }
 DATES = {
     "customers": ("signup_date", "created_at", "updated_at"),
@@ -28,7 +38,12 @@ DATES = {
     "tickets": ("created_at", "first_response_at", "resolved_at", "sla_first_due_at", "sla_resolve_due_at"),
     "ticket_events": ("event_ts",),
 }
-KEYS = {"customers": "customer_id", "orders": "order_id", "tickets": "ticket_id", "ticket_events": "event_id"}
+KEYS = {
+    "cities": "city_id", "regions": "region_id", "segments": "segment_id", "categories": "category_id", "teams": "team_id",
+    "reason_categories": "reason_category_id", "reasons": "reason_id", "channels": "channel_id", "priorities": "priority_id",
+    "customers": "customer_id", "restaurants": "restaurant_id", "drivers": "driver_id", "agents": "agent_id",
+    "orders": "order_id", "tickets": "ticket_id", "ticket_events": "event_id",
+}
 
 PHONE = ("CASE WHEN regexp_matches(regexp_replace(trim({c}), '^([0-9]+)[.]0$', '\\1'), '^[0-9]{{10}}$') "
          "THEN '0' || regexp_replace(trim({c}), '^([0-9]+)[.]0$', '\\1') "
@@ -49,6 +64,31 @@ LABELS = {
           OR created_at IS NULL THEN 'null_violation' WHEN refund_amount < 0 THEN 'range_violation:refund_amount' END""",
     "ticket_events": """CASE WHEN event_id IS NULL OR ticket_id IS NULL OR agent_id IS NULL OR event_ts IS NULL
           OR new_status IS NULL THEN 'null_violation' END""",
+    "cities": "CASE WHEN nullif(city_name, '') IS NULL THEN 'null_violation' END",
+    "regions": """CASE WHEN nullif(region_name, '') IS NULL OR city_id IS NULL THEN 'null_violation'
+        WHEN delivery_base_fee < 0 THEN 'range_violation:delivery_base_fee' END""",
+    "segments": "CASE WHEN nullif(segment_name, '') IS NULL THEN 'null_violation' END",
+    "categories": "CASE WHEN nullif(category_name, '') IS NULL THEN 'null_violation' END",
+    "teams": "CASE WHEN nullif(team_name, '') IS NULL THEN 'null_violation' END",
+    "reason_categories": "CASE WHEN nullif(category_name, '') IS NULL THEN 'null_violation' END",
+    "reasons": """CASE WHEN nullif(reason_name, '') IS NULL OR reason_category_id IS NULL THEN 'null_violation'
+        WHEN severity_level < 1 OR severity_level > 5 THEN 'range_violation:severity_level'
+        WHEN typical_refund_pct < 0 OR typical_refund_pct > 1 THEN 'range_violation:typical_refund_pct' END""",
+    "channels": "CASE WHEN nullif(channel_name, '') IS NULL THEN 'null_violation' END",
+    "priorities": "CASE WHEN nullif(priority_name, '') IS NULL THEN 'null_violation' END",
+    "restaurants": """CASE WHEN rating_avg < 1 OR rating_avg > 5 THEN 'range_violation:rating_avg'
+        WHEN prep_time_avg_min < 1 THEN 'range_violation:prep_time_avg_min' END""",
+    "drivers": f"""CASE WHEN NOT {GOOD_PHONE.format(c='driver_phone')} THEN 'invalid_phone:driver_phone'
+        WHEN rating_avg < 1 OR rating_avg > 5 THEN 'range_violation:rating_avg'
+        WHEN on_time_rate < 0 OR on_time_rate > 1 THEN 'range_violation:on_time_rate'
+        WHEN cancel_rate < 0 OR cancel_rate > 1 THEN 'range_violation:cancel_rate'
+        WHEN completed_deliveries < 0 THEN 'range_violation:completed_deliveries' END""",
+    "agents": f"""CASE WHEN nullif(agent_name, '') IS NULL THEN 'null_violation'
+        WHEN NOT {GOOD_EMAIL.format(c='agent_email')} THEN 'invalid_email:agent_email'
+        WHEN NOT {GOOD_PHONE.format(c='agent_phone')} THEN 'invalid_phone:agent_phone'
+        WHEN resolution_rate < 0 OR resolution_rate > 1 THEN 'range_violation:resolution_rate'
+        WHEN csat_score < 1 OR csat_score > 5 THEN 'range_violation:csat_score'
+        WHEN avg_handle_time_min < 1 THEN 'range_violation:avg_handle_time_min' END""",
 }
 
 
@@ -426,3 +466,76 @@ SQL["stream_job_events"] = f"""SELECT event_id, ticket_id, {_RINT.format(c='agen
     old_status, new_status, notes FROM ({valid('ticket_events')}) e
   WHERE (ticket_id IN (SELECT ticket_id FROM ({_ticket_rows()}) t)
     OR slot < (SELECT min(slot) FROM ({_ticket_rows()}) t)) AND agent_id IN (SELECT s_suppkey FROM supplier)"""
+
+
+# A whole day: the snapshot of thirteen tables, then its slots. Each table's rows r_ carry why they are not loaded, l_ are those that are.
+_PARENTS = {
+    "regions": ("city",), "reasons": ("reason_category",), "customers": ("region", "segment"), "restaurants": ("region", "category"),
+    "drivers": ("region",), "agents": ("team",), "tickets": ("reason", "priority", "channel"),
+}
+_PLURAL = {"city": "cities", "category": "categories", "reason_category": "reason_categories", "priority": "priorities"}
+
+
+def _unknown(name: str) -> str:
+    """Keys that must exist if they are given."""
+    cases = " ".join(f"WHEN {p}_id NOT IN (SELECT {p}_id FROM l_{_PLURAL.get(p, p + 's')}) THEN 'unknown_{p}'" for p in _PARENTS.get(name, ()))
+    return f"CASE {cases} END" if cases else "CAST(NULL AS VARCHAR)"
+
+
+_FACT_ORPHANS = {
+    "orders": " ".join(f"WHEN {p}_id IS NULL OR {p}_id NOT IN (SELECT {p}_id FROM l_{p}s) THEN 'orphan_{p}'" for p in ("customer", "restaurant", "driver", "region")),
+    "tickets": """WHEN slot >= (SELECT min(since) FROM k_orders) AND (since IS NULL OR since > slot) THEN 'orphan_order'
+      WHEN agent_id NOT IN (SELECT agent_id FROM l_agents) THEN 'orphan_agent'""",
+    "ticket_events": """WHEN slot >= (SELECT min(since) FROM k_tickets) AND (since IS NULL OR since > slot) THEN 'orphan_ticket'
+      WHEN agent_id NOT IN (SELECT agent_id FROM l_agents) THEN 'orphan_agent'""",
+}
+_FACTS = {"orders": None, "tickets": "order", "ticket_events": "ticket"}
+
+
+def _day() -> str:
+    steps, counts = [], []
+    for name in (*_BATCH_TABLES, *_FACTS):
+        key, parent = KEYS[name], _FACTS.get(name)
+        rows = labelled(name)
+        if parent:
+            rows = f"SELECT b.*, k.since FROM ({rows}) b LEFT JOIN k_{parent}s k ON k.{parent}_id = b.{parent}_id"
+        orphan = f"CASE {_FACT_ORPHANS[name]} END" if name in _FACTS else "CAST(NULL AS VARCHAR)"
+        slot = "slot" if name in _FACTS else "''"
+        steps += [
+            f"g_{name} AS (SELECT *, keyed AND reject IS NULL AS good, {orphan} AS misses FROM ({rows}) x)",
+            f"""r_{name} AS (SELECT *, CASE WHEN good THEN misses END AS orphan, CASE WHEN good AND misses IS NULL THEN {_unknown(name)} END AS refused
+              FROM g_{name})""",
+            f"l_{name} AS (SELECT * FROM r_{name} WHERE good AND orphan IS NULL AND refused IS NULL)"]
+        if name in _FACTS:
+            steps.append(f"k_{name} AS (SELECT {key}, min(slot) AS since FROM l_{name} GROUP BY 1)")
+        counts.append(f"""SELECT '{name}' AS table_name, {slot} AS slot, CAST(sum(copies) AS BIGINT) AS total,
+            CAST(sum(CASE WHEN keyed THEN copies - 1 ELSE copies END) AS BIGINT) AS dups, count(CASE WHEN reject = 'null_violation' THEN 1 END) AS nulls,
+            count(CASE WHEN reject <> 'null_violation' THEN 1 END) AS fmt, count(reject) AS rejected, count(orphan) AS orphans, count(refused) AS refused,
+            count(CASE WHEN good AND orphan IS NULL AND refused IS NULL THEN 1 END) AS loaded FROM r_{name} GROUP BY ALL""")
+    return "WITH " + ",\n".join([*steps, "s AS (SELECT *, CASE WHEN loaded > 0 THEN 'success' ELSE 'skipped' END AS status FROM (" + " UNION ALL ".join(counts) + ") c)"])
+
+
+_DAY = _day()
+_LOST = "CASE WHEN loaded > 0 THEN rejected + orphans + refused WHEN orphans + refused > 0 THEN orphans + refused ELSE rejected END"
+SQL["job_quality_log"] = f"""{_DAY} SELECT table_name, slot, status, total AS total_records,
+    CASE WHEN loaded > 0 THEN loaded ELSE total - rejected END AS valid_records,
+    CASE WHEN loaded > 0 THEN rejected + orphans + refused ELSE rejected END AS rejected_records, dups AS duplicate_count,
+    nulls AS null_violation_count, fmt AS invalid_format_count, orphans AS orphan_count FROM s"""
+SQL["job_ledger"] = f"{_DAY} SELECT table_name, slot, status, loaded AS rows_loaded, {_LOST} AS rows_rejected FROM s"
+SQL["job_quarantine"] = _DAY + " SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, CASE WHEN reject IS NOT NULL THEN 'data_validation' WHEN orphan IS NOT NULL THEN 'orphan_reference'
+      ELSE 'warehouse_constraint' END AS reason, coalesce(reject, orphan, refused) AS rejection_detail,
+      CASE WHEN orphan IS NOT NULL THEN replace(orphan, 'orphan_', '') || '_id' END AS orphan_fk_col, count(*) AS rows
+      FROM r_{t} WHERE coalesce(reject, orphan, refused) IS NOT NULL GROUP BY ALL""" for t in (*_BATCH_TABLES, *_FACTS)) + ") q"
+SQL["job_alerts"] = f"""{_DAY} SELECT 'orphan_rate' AS kind, table_name, slot, orphans AS affected_rows, loaded + orphans + refused AS total_rows
+  FROM s WHERE orphans > 0.05 * (loaded + orphans + refused)"""
+SQL["job_star_counts"] = _DAY + " " + " UNION ALL ".join(
+    f"SELECT '{'fact_' if t in _FACTS else 'dim_'}{KEYS[t].removesuffix('_id') if t != 'ticket_events' else 'ticket_event'}' AS tbl, count(DISTINCT {KEYS[t]}) AS rows FROM l_{t}"
+    for t in (*_BATCH_TABLES, *_FACTS))
+SQL["job_key_index"] = SQL["job_star_counts"]
+SQL["job_summaries"] = f"""{_DAY}, f AS (SELECT slot, CAST(sum(CASE WHEN table_name = 'orders' THEN loaded ELSE 0 END) AS BIGINT) AS orders_loaded,
+    CAST(sum(CASE WHEN table_name = 'tickets' THEN loaded ELSE 0 END) AS BIGINT) AS tickets_loaded,
+    CAST(sum(CASE WHEN table_name = 'ticket_events' THEN loaded ELSE 0 END) AS BIGINT) AS events_loaded FROM s WHERE slot <> '' AND loaded > 0 GROUP BY 1)
+  SELECT *, CAST(NULL AS BIGINT) AS total_rows_loaded, CAST(NULL AS BIGINT) AS total_rows_rejected FROM f
+  UNION ALL SELECT 'all', CAST(sum(orders_loaded) AS BIGINT), CAST(sum(tickets_loaded) AS BIGINT), CAST(sum(events_loaded) AS BIGINT), NULL, NULL FROM f
+  UNION ALL SELECT 'snapshot', NULL, NULL, NULL, CAST(sum(loaded) AS BIGINT), CAST(sum(rejected + orphans + refused) AS BIGINT) FROM s WHERE slot = '' AND loaded > 0"""
