@@ -16,7 +16,7 @@ from ordergate.operators import merge as merging
 from ordergate.operators import metrics, quarantine
 from ordergate.operators import references as refs
 from ordergate.operators import validation as val
-from ordergate.plans import batch, reports, table_job, views
+from ordergate.plans import batch, reports, states, table_job, views
 from ordergate.registry import BATCH_FILES, FACT_REFERENCES, STREAM_FILES, TABLES
 from ordergate.session import local_frame, scratch_folder
 from ordergate.sources import csv_files, json_files, ledger
@@ -901,3 +901,45 @@ def job_summaries(spark, sf_dir):
         metrics.stream_summary(scanned).withColumn("slot", F.lit("all")))
     loaded = metrics.batch_summary(files.where("slot = ''")).select(F.lit("snapshot").alias("slot"), "total_rows_loaded", "total_rows_rejected")
     return by_slot.unionByName(loaded, allowMissingColumns=True)
+
+
+# Views kept as states by day ----------------------------------------------------------------
+
+def _kept_states(spark, sf_dir):
+    """A warehouse whose tickets came in two loads, with states refreshed after each."""
+    def make(folder):
+        warehouse = Warehouse(spark, f"{folder}/warehouse")
+        for name in ("restaurants", "categories", "regions", "drivers"):
+            rows = star(spark, sf_dir, TABLES[name].warehouse_name)
+            warehouse.upsert(name, rows.select(*[c for c in rows.columns if c in TABLES[name].by_name]))
+        rows = tickets(spark, sf_dir)
+        late = F.pmod(F.xxhash64("ticket_id"), F.lit(3)) == 0
+        for part in (rows.where(~late), rows.where(late)):
+            warehouse.upsert("tickets", part.select(*[c for c in part.columns if c in TABLES["tickets"].warehouse_schema.names]))
+            states.refresh(warehouse)
+    return Warehouse(spark, fx.once(spark, sf_dir, "states", make) + "/warehouse")
+
+
+@query
+def state_sla_daily(spark, sf_dir):
+    return states.sla_daily(_kept_states(spark, sf_dir))
+
+
+@query
+def state_sla_by_restaurant(spark, sf_dir):
+    return states.sla_by_restaurant(_kept_states(spark, sf_dir))
+
+
+@query
+def state_sla_by_driver(spark, sf_dir):
+    return states.sla_by_driver(_kept_states(spark, sf_dir))
+
+
+@query
+def state_sla_summary_day(spark, sf_dir):
+    return states.sla_summary(_kept_states(spark, sf_dir), "2024-01-15")
+
+
+@query
+def state_sla_health_7(spark, sf_dir):
+    return states.sla_health(_kept_states(spark, sf_dir))

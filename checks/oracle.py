@@ -539,3 +539,10 @@ SQL["job_summaries"] = f"""{_DAY}, f AS (SELECT slot, CAST(sum(CASE WHEN table_n
   SELECT *, CAST(NULL AS BIGINT) AS total_rows_loaded, CAST(NULL AS BIGINT) AS total_rows_rejected FROM f
   UNION ALL SELECT 'all', CAST(sum(orders_loaded) AS BIGINT), CAST(sum(tickets_loaded) AS BIGINT), CAST(sum(events_loaded) AS BIGINT), NULL, NULL FROM f
   UNION ALL SELECT 'snapshot', NULL, NULL, NULL, CAST(sum(loaded) AS BIGINT), CAST(sum(rejected + orphans + refused) AS BIGINT) FROM s WHERE slot = '' AND loaded > 0"""
+
+# Views kept as states by day
+SQL["state_sla_daily"] = SLA_DAILY
+SQL["state_sla_by_restaurant"] = BY_RESTAURANT
+SQL["state_sla_by_driver"] = BY_DRIVER
+SQL["state_sla_summary_day"] = SQL["sla_summary_day"]
+SQL["state_sla_health_7"] = SQL["sla_health_7"]

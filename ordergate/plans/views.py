@@ -24,9 +24,10 @@ def _mean_cents(total: Column, count: Column) -> Column:
     return ratio(cents(total), count, digits=0) / F.lit(100.0)
 
 
-def sla_daily(tickets: DataFrame, ordered: bool = True) -> DataFrame:
+def daily_sums(tickets: DataFrame) -> DataFrame:
+    """Counts and sums of tickets with a known first-response flag, by day."""
     first, resolve = "is_first_response_breached", "is_resolution_breached"
-    sums = tickets.where(F.col(first).isNotNull()).groupBy(DAY("created_at").alias("day")).agg(
+    return tickets.where(F.col(first).isNotNull()).groupBy(DAY("created_at").alias("day")).agg(
         F.count(F.lit(1)).alias("total_tickets"),
         _flag_count(first).alias("fr_breaches"),
         _flag_count(resolve).alias("res_breaches"),
@@ -38,6 +39,9 @@ def sla_daily(tickets: DataFrame, ordered: bool = True) -> DataFrame:
         F.sum("refund_amount").alias("total_refunds"),
         F.count_distinct("agent_id").alias("agents_involved"),
     )
+
+
+def daily_view(sums: DataFrame, ordered: bool = True) -> DataFrame:
     view = sums.select(
         "day",
         "total_tickets",
@@ -53,9 +57,13 @@ def sla_daily(tickets: DataFrame, ordered: bool = True) -> DataFrame:
     return view.orderBy(F.desc_nulls_first("day")) if ordered else view
 
 
-def _by_key(tickets: DataFrame, key: str) -> DataFrame:
-    """Tickets with a known resolution flag, summed per ``key``."""
-    return tickets.where(F.col("is_resolution_breached").isNotNull()).groupBy(key).agg(
+def sla_daily(tickets: DataFrame, ordered: bool = True) -> DataFrame:
+    return daily_view(daily_sums(tickets), ordered)
+
+
+def key_sums(tickets: DataFrame, *keys: str) -> DataFrame:
+    """Tickets with a known resolution flag, summed per ``keys``."""
+    return tickets.where(F.col("is_resolution_breached").isNotNull()).groupBy(*keys).agg(
         F.count("ticket_id").alias("total_tickets"),
         _flag_count("is_resolution_breached").alias("_late"),
         F.count("is_resolution_breached").alias("_late_n"),
@@ -70,13 +78,19 @@ def _by_key(tickets: DataFrame, key: str) -> DataFrame:
 def sla_by_restaurant(
     tickets: DataFrame, restaurants: DataFrame, categories: DataFrame, regions: DataFrame,
     ordered: bool = True,
+) -> DataFrame:
+    return restaurant_view(key_sums(tickets, "restaurant_id"), restaurants, categories, regions, ordered)
+
+
+def restaurant_view(
+    sums: DataFrame, restaurants: DataFrame, categories: DataFrame, regions: DataFrame, ordered: bool = True,
 ) -> DataFrame:
     places = (
         restaurants.select("restaurant_id", "restaurant_name", "category_id", "region_id")
         .join(categories.select("category_id", "category_name"), "category_id")
         .join(regions.select("region_id", "region_name"), "region_id")
     )
-    view = _by_key(tickets, "restaurant_id").join(places, "restaurant_id").select(
+    view = sums.join(places, "restaurant_id").select(
         "restaurant_id", "restaurant_name", "category_name", "region_name", "total_tickets",
         percent(F.col("_late"), F.col("_late_n")).alias("res_breach_rate_pct"),
         _mean_cents(F.col("_min"), F.col("_min_n")).alias("avg_resolution_min"),
@@ -87,8 +101,12 @@ def sla_by_restaurant(
 
 
 def sla_by_driver(tickets: DataFrame, drivers: DataFrame, ordered: bool = True) -> DataFrame:
+    return driver_view(key_sums(tickets, "driver_id"), drivers, ordered)
+
+
+def driver_view(sums: DataFrame, drivers: DataFrame, ordered: bool = True) -> DataFrame:
     people = drivers.select("driver_id", "driver_name", "vehicle_type", "on_time_rate", "cancel_rate")
-    view = _by_key(tickets, "driver_id").join(people, "driver_id").select(
+    view = sums.join(people, "driver_id").select(
         "driver_id", "driver_name", "vehicle_type", "total_tickets",
         percent(F.col("_late"), F.col("_late_n")).alias("res_breach_rate_pct"),
         "total_refunds", "on_time_rate", "cancel_rate",
@@ -105,7 +123,7 @@ def sla_by_region(
     sums = ["total_tickets", "_late", "_late_n", "_slow", "_slow_n", "total_refunds"]
     total = [F.sum(c).alias(c) for c in sums]
     per_region = (
-        _by_key(tickets, "order_id")
+        key_sums(tickets, "order_id")
         .join(orders.select("order_id", "region_id"), "order_id")
         .groupBy("region_id").agg(*total)
     )

@@ -142,7 +142,7 @@ class Warehouse:
         """Writes that become visible together, by :meth:`Transaction.commit`."""
         return Transaction(self)
 
-    def _alone(self, work: Callable[[Transaction], object]):
+    def transact(self, work: Callable[[Transaction], object]):
         """``work`` as a transaction of its own, done again if another writer was first."""
         for attempt in range(ATTEMPTS):
             writes = self.begin()
@@ -161,20 +161,20 @@ class Warehouse:
 
     def upsert(self, name: str, rows: DataFrame, order: tuple[str, ...] = ()) -> int:
         """Merge ``rows`` into a table by its key; ``order`` decides between copies. Returns the number of rows merged."""
-        return self._alone(lambda writes: writes.upsert(name, rows, order))
+        return self.transact(lambda writes: writes.upsert(name, rows, order))
 
     def record_files(self, outcomes: DataFrame) -> None:
-        self._alone(lambda writes: writes.record_files(outcomes))
+        self.transact(lambda writes: writes.record_files(outcomes))
 
     def append_quality(self, rows: DataFrame) -> None:
-        self._alone(lambda writes: writes.append_quality(rows))
+        self.transact(lambda writes: writes.append_quality(rows))
 
     def append_alerts(self, rows: DataFrame) -> None:
-        self._alone(lambda writes: writes.append_alerts(rows))
+        self.transact(lambda writes: writes.append_alerts(rows))
 
     def update_where(self, name: str, needed: Column, change: Callable[[DataFrame], DataFrame]) -> None:
         """Rewrite the parts that have a row for which ``needed`` holds."""
-        self._alone(lambda writes: writes.update_where(name, needed, change))
+        self.transact(lambda writes: writes.update_where(name, needed, change))
 
     def compact(self, name: str) -> None:
         """Rewrite a table's parts into as few files as their size asks for."""
@@ -232,7 +232,7 @@ class Transaction(Warehouse):
             self.log.storage.delete(folder if table_ == QUARANTINE else f"{self.root}/{folder}")
         self.entries = []
 
-    def _alone(self, work):
+    def transact(self, work):
         return work(self)
 
     # One table
@@ -248,6 +248,11 @@ class Transaction(Warehouse):
         rows.hint("rebalance", "part").write.partitionBy("part").parquet(f"{self.root}/{folder}")
         return folder, {n.removeprefix("part=") for n in self.log.storage.names(f"{self.root}/{folder}") if n.startswith("part=")}
 
+    def replace_parts(self, name: str, rows: DataFrame, parts: set[str], facts: dict | None = None) -> None:
+        """``rows`` (with their ``part``) in place of all that ``parts`` of a table had."""
+        folder, written = self._write(name, rows)
+        self._add([Entry(name, p, folder if p in written else None, True) for p in sorted(parts | written)], {name: facts} if facts else None)
+
     def add_folder(self, name: str, part: str, folder: str) -> None:
         """Files written elsewhere become part of a table."""
         self._add([Entry(name, part, folder)])
