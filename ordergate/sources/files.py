@@ -7,14 +7,14 @@ from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordergate.registry import BATCH_FILES, STREAM_FILES
 from ordergate.session import local_frame
 
-# A file's content is hashed and inspected as one value, which Spark bounds. Larger
-# deliveries come as a folder of parts; a larger file fails, alone.
+# Up to this size a file's content is hashed and inspected as one value, which Spark bounds. Larger CSV
+# files are hashed line by line; a larger JSON file fails, alone, and should come as a folder of parts.
 LARGEST_FILE = 2**31 - 1024
 
 FILE_COLUMNS = (
@@ -83,6 +83,7 @@ def stream_files(spark: SparkSession, stream_dir: str, run_date: str) -> DataFra
     ).where("table_name is not null")
 
 
+HEADER_BYTES = 65_536
 FINGERPRINT = "_file string, md5 string, is_utf8 boolean, header string, has_quotes boolean"
 EMPTY_MD5 = "d41d8cd98f00b204e9800998ecf8427e"
 OVERSIZED = "oversized"
@@ -95,17 +96,50 @@ def fingerprint(
 
     One pass over the bytes answers all file-level questions at once: has the
     content changed, how is it encoded, what is its first line. The last three
-    are only asked ``as_text``.
+    are only asked ``as_text``. The hash of a text file beyond ``LARGEST_FILE`` is that of
+    its lines and their places; another such file has none.
     """
-    filled = [r.path for r in files.where(F.col("length").between(1, LARGEST_FILE)).select("path").collect()]
-    facts = _inspect_whole(spark, filled, as_text) if filled else _empty(spark, FINGERPRINT)
+    sizes = files.where("length > 0").select("path", "length").collect()
+    whole, large = [r.path for r in sizes if r.length <= LARGEST_FILE], [r.path for r in sizes if r.length > LARGEST_FILE]
+    facts = _inspect_whole(spark, whole, as_text) if whole else _empty(spark, FINGERPRINT)
+    if large and as_text:
+        facts = facts.unionByName(_inspect_lines(spark, large))
     joined = files.join(facts, "_file", "left")
-    return joined.withColumn("md5", F.when(too_large(), OVERSIZED).otherwise(F.coalesce("md5", F.lit(EMPTY_MD5))))
+    unknown = F.when(F.col("length") == 0, EMPTY_MD5).otherwise(OVERSIZED)
+    return joined.withColumn("md5", F.coalesce("md5", unknown))
 
 
-def too_large() -> Column:
-    """Files that can't be hashed, nor read: they have no content hash and an error of their own."""
-    return F.col("length") > LARGEST_FILE
+def _inspect_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The facts of large text files, each read by many tasks.
+
+    A line's place is its byte offset: the bytes of the blocks before its own and of the lines before it in its block. So
+    the sum over all lines doesn't depend on where the file was split, but on the order of its lines.
+    """
+    start = F.substring(F.col("value").cast("binary"), 1, HEADER_BYTES)
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"), (F.octet_length("value") + 1).cast("long").alias("size"),
+        F.xxhash64("value").bitwiseAND(F.lit(2**31 - 1)).alias("a"), F.shiftrightunsigned(F.xxhash64("value"), 33).alias("b"),
+        F.is_valid_utf8("value").alias("utf8"), F.contains("value", F.lit('"')).alias("quoted"),
+        # the header is among the first lines of a file, of which the others needn't be carried
+        F.when(F.col("_metadata.file_block_start") == 0, F.coalesce(_first_line(start.cast("string")), F.lit(""))).alias("text"),
+        F.when(F.col("_metadata.file_block_start") == 0, _first_line(F.decode(start, "ISO-8859-1"))).alias("latin"))
+    before = Window.partitionBy("_file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    # In a block only places from its own start are known. The sum of hash * place moves to another start by start * sum of hashes;
+    # hashes have 31 bits, so 38 digits hold it exactly for any file.
+    whole = lambda c: F.col(c).cast("decimal(20,0)")
+    blocks = placed.groupBy("_file", "block").agg(
+        F.sum("size").alias("size"), *[F.sum(whole(h)).alias(f"{h}_sum") for h in "ab"], *[F.sum(whole(h) * whole("at")).alias(f"{h}_at") for h in "ab"],
+        F.bool_and("utf8").alias("utf8"), F.bool_or("quoted").alias("quoted"), F.min(F.when(F.col("text") != "", F.struct("n", "text", "latin"))).alias("first"))
+    earlier = Window.partitionBy("_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    started = blocks.withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)).cast("decimal(17,0)"))
+    moved = [F.sum(F.col(f"{h}_at") + F.col("start") * F.col(f"{h}_sum").cast("decimal(20,0)")).cast("string") for h in "ab"]
+    facts = started.groupBy("_file").agg(
+        F.md5(F.concat_ws(",", *moved, F.sum("size").cast("string"))).alias("md5"), F.bool_and("utf8").alias("is_utf8"),
+        F.max(F.when(F.col("block") == 0, F.col("first"))).alias("first"), F.bool_or("quoted").alias("has_quotes"))
+    header = F.when(F.col("is_utf8"), F.col("first.text")).otherwise(F.col("first.latin")).alias("header")
+    return facts.select("_file", "md5", "is_utf8", header, "has_quotes")
 
 
 def _first_line(text: Column) -> Column:

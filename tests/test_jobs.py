@@ -359,25 +359,26 @@ def test_an_oversized_file_fails_alone(spark, tmp_path, monkeypatch):
     """A part that is too large beside a loaded one: the loaded one's ledger row stays, other parts load, nothing is loaded twice."""
     from ordergate.sources import files
 
-    day = tmp_path / "batch" / DAY / "categories.csv"
-    put(day / "a.csv", "category_id,category_name\n1,Grill\n")
-    load = lambda: {Path(r["_file"]).name: (r.status, r.rows_loaded, r.error) for r in run_batch(make_run(spark, tmp_path), f"{tmp_path}/batch", ["categories"]).collect()}
-    assert load()["a.csv"][:2] == ("success", 1)
+    day = tmp_path / "batch" / DAY / "cities.json"
+    city = lambda *ids: [{"city_id": i, "city_name": f"c{i}", "country": "EG", "timezone": "x"} for i in ids]
+    put(day / "a.json", city(1))
+    load = lambda: {Path(r["_file"]).name: (r.status, r.rows_loaded, r.error) for r in run_batch(make_run(spark, tmp_path), f"{tmp_path}/batch", ["cities"]).collect()}
+    assert load()["a.json"][:2] == ("success", 1)
     ledger = lambda: {Path(r.file_path).name: (r.status, r.md5_hash) for r in make_run(spark, tmp_path).warehouse.ledger().collect()}
-    before = ledger()["a.csv"]
-    put(day / "b.csv", "category_id,category_name\n2,Fish\n" + "3,Soup\n" * 40)
-    put(day / "c.csv", "category_id,category_name\n4,Cake\n")
+    before = ledger()["a.json"]
+    put(day / "b.json", city(2, 3, 3, 3))
+    put(day / "c.json", city(4))
     with monkeypatch.context() as m:
-        m.setattr(files, "LARGEST_FILE", 100)
+        m.setattr(files, "LARGEST_FILE", 150)
         found = load()
-        assert found["a.csv"][0] == "already_processed" and found["c.csv"][:2] == ("success", 1)
-        assert found["b.csv"][0] == "failed" and "folder of parts" in found["b.csv"][2]
-        assert ledger()["a.csv"] == before and ledger()["b.csv"][0] == "failed"
-        assert load()["b.csv"][0] == "failed"
+        assert found["a.json"][0] == "already_processed" and found["c.json"][:2] == ("success", 1)
+        assert found["b.json"][0] == "failed" and "folder of parts" in found["b.json"][2]
+        assert ledger()["a.json"] == before and ledger()["b.json"][0] == "failed"
+        assert load()["b.json"][0] == "failed"
     log = make_run(spark, tmp_path).warehouse.quality_log()
-    assert sorted(Path(r.source_file).name for r in log.collect()) == ["a.csv", "c.csv"]
-    assert load()["b.csv"][:2] == ("success", 2)
-    assert {r.category_id for r in make_run(spark, tmp_path).warehouse.read("categories").collect()} == {1, 2, 3, 4}
+    assert sorted(Path(r.source_file).name for r in log.collect()) == ["a.json", "c.json"]
+    assert load()["b.json"][:2] == ("success", 2)
+    assert {r.city_id for r in make_run(spark, tmp_path).warehouse.read("cities").collect()} == {1, 2, 3, 4}
 
 
 def test_checks_read_only_the_buckets_they_need(spark, tmp_path, monkeypatch):

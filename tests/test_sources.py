@@ -112,9 +112,24 @@ def test_json_texts_and_bad_files(spark, tmp_path):
         ("1", "x", None, None, None), ("2", "y", None, None, None), (None,) * 4 + ("Malformed JSON",)]
 
 
-def test_oversized_files_have_no_content_hash(spark, tmp_path, monkeypatch):
+def test_large_text_files_are_hashed_by_line(spark, tmp_path, monkeypatch):
+    """The hash doesn't depend on the splits, but on every byte and on the order of lines; the other facts are those of small files."""
+    lines = [f"{i},name {i * 7 % 100}" for i in range(400)]
+    texts = {"a": lines, "same": lines, "edit": [*lines[:-1], "399,name x"], "swap": [lines[1], lines[0], *lines[2:]], "short": lines[:-1], "quote": [*lines, '"x"']}
+    for name, rows in texts.items():
+        (tmp_path / f"{name}.csv").write_text("category_id,category_name\r\n" + "\n".join(rows))
+    (tmp_path / "latin.csv").write_bytes(b"\n" + "id,é\n1,ü\n".encode("latin-1"))
+    facts_of = lambda: {r["_file"].rsplit("/")[-1][:-4]: (r.md5, r.is_utf8, r.header, r.has_quotes) for r in facts(spark, tmp_path)}
+    small = facts_of()
     monkeypatch.setattr(files, "LARGEST_FILE", 5)
-    (tmp_path / "x.csv").write_text("category_id,category_name\n")
-    (tmp_path / "y.csv").write_text("a,b\n")
-    found = {r["_file"][-5:]: (r.md5, r.header) for r in facts(spark, tmp_path)}
-    assert found["x.csv"] == (files.OVERSIZED, None) and found["y.csv"][1] == "a,b" and len(found["y.csv"][0]) == 32
+    large = facts_of()
+    assert {k: v[1:] for k, v in large.items()} == {k: v[1:] for k, v in small.items()}
+    assert large["latin"][1:3] == (False, "id,é") and large["a"][0] == large["same"][0] and len({v[0] for v in large.values()}) == len(texts)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        assert facts_of() == large
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    marked = files.fingerprint(spark, files.list_files(spark, str(tmp_path)), as_text=False).collect()
+    assert {r.md5 for r in marked} == {files.OVERSIZED}
