@@ -286,6 +286,24 @@ def schema_required(spark, sf_dir):
         "seg", "missing", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
+@query
+def schema_required_json(spark, sf_dir):
+    """The same of JSON files: one that lacks a column gives its reason and no row."""
+    spec = TABLES["customers"]
+
+    def make(folder):
+        rows = raw(spark, sf_dir, "customers").withColumn("segment_note", F.lit("x"))
+        fewer = [c for c in spec.column_names if c not in ("gender", "email")]
+        more = [*spec.column_names, "segment_note"]
+        fx.write_json(rows.where("segment_id <= '2'"), folder, fewer, spec.key, {"seg": F.col("segment_id")})
+        fx.write_json(rows.where("segment_id > '2'"), folder, more, spec.key, {"seg": F.col("segment_id")})
+    found = sources.list_files(spark, fx.once(spark, sf_dir, "json-missing-columns", make)).collect()
+    seg = F.regexp_extract("_file", "/seg=([^/]+)/", 1)
+    missing = F.replace(F.max("_error"), F.lit("Missing required columns: "), F.lit(""))
+    return json_files.read_json(spark, found, spec).groupBy(seg.alias("seg")).agg(
+        F.coalesce(missing, F.lit("")).alias("missing"), F.count_if(F.col("_error").isNull()).alias("rows"))
+
+
 @query
 def schema_prune(spark, sf_dir):
     spec = TABLES["customers"]

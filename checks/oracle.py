@@ -403,6 +403,7 @@ SQL["file_fingerprint"] = """SELECT p_type, block, md5(content) AS md5, octet_le
     FROM part GROUP BY 1, 2) x"""
 SQL["schema_required"] = f"""SELECT segment_id AS seg, CASE WHEN segment_id <= '2' THEN 'email, gender' ELSE '' END AS missing,
     CASE WHEN segment_id <= '2' THEN 0 ELSE count(*) END AS rows FROM ({duck('customers')}) c GROUP BY 1"""
+SQL["schema_required_json"] = SQL["schema_required"]
 
 # Jobs
 _RINT = "CAST({c} AS BIGINT) AS {c}"
