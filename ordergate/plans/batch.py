@@ -76,7 +76,7 @@ def _run_batch(run: Run, batch_dir: str, tables: list[str] | None, parallel: int
     idle = _fill(_without_work(run, found, worked, batch_dir).where(F.col("table_name").isin(*formats)))
     absent = idle.where(F.col("status") == FAILED)
     if not absent.isEmpty():
-        run.warehouse.record_files(ledger_rows(absent, run.run_timestamp))
+        run.warehouse.record_files(ledger_rows(absent, run.run_timestamp), run.run_date)
     return worked.unionByName(idle)
 
 

@@ -31,7 +31,7 @@ from ordergate.sources.ledger import LEDGER_SCHEMA
 
 LEDGER, QUALITY, ALERTS, QUARANTINE = "file_ledger", "quality_log", "alerts", "quarantine"
 _WHOLE = "all"
-_DAY = r"(?:^|/)(\d{4}-\d{2}-\d{2})/"
+_DAY = r".*(?:^|/)(\d{4}-\d{2}-\d{2})/"
 #: Of the key index: keys of a bucket before buckets are doubled, folders of a bucket before they are joined.
 BUCKET_KEYS, BUCKET_FOLDERS = 1_000_000, 8
 #: Folders of a ledger day before they are joined.
@@ -82,10 +82,10 @@ class Warehouse:
         return sorted(self._state().folders(table(name).warehouse_name))
 
     def ledger(self, run_date: str | None = None) -> DataFrame:
-        """The latest entry of each file; of one day's files only, if a date is given."""
+        """The latest entry of each file; if a date is given, of the files of that day's runs and of those of no day."""
         folders = self._state().folders(LEDGER)
         if run_date is not None:
-            folders = {p: f for p, f in folders.items() if p == run_date}
+            folders = {p: f for p, f in folders.items() if p in (run_date, _WHOLE)}
         return _latest(self._read(LEDGER, LEDGER_SCHEMA, folders, generation=True)).drop("part")
 
     def quality_log(self) -> DataFrame:
@@ -163,8 +163,8 @@ class Warehouse:
         """Merge ``rows`` into a table by its key; ``order`` decides between copies. Returns the number of rows merged."""
         return self.transact(lambda writes: writes.upsert(name, rows, order))
 
-    def record_files(self, outcomes: DataFrame) -> None:
-        self.transact(lambda writes: writes.record_files(outcomes))
+    def record_files(self, outcomes: DataFrame, run_date: str | None = None) -> None:
+        self.transact(lambda writes: writes.record_files(outcomes, run_date))
 
     def append_quality(self, rows: DataFrame) -> None:
         self.transact(lambda writes: writes.append_quality(rows))
@@ -267,9 +267,10 @@ class Transaction(Warehouse):
     def append_alerts(self, rows: DataFrame) -> None:
         self._append(ALERTS, ALERT_SCHEMA, rows, F.col("run_date").cast("string"))
 
-    def record_files(self, outcomes: DataFrame) -> None:
-        """Add entries to the days of their files. A day of many small folders becomes one again, with the latest entry of each file."""
-        day = F.regexp_extract("file_path", _DAY, 1)
+    def record_files(self, outcomes: DataFrame, run_date: str | None = None) -> None:
+        """Add entries to the day of the run, or else of the last date in their paths. A day of many small folders becomes one
+        again, with the latest entry of each file."""
+        day = F.regexp_extract("file_path", _DAY, 1) if run_date is None else F.lit(run_date)
         self._append(LEDGER, LEDGER_SCHEMA, outcomes, F.when(day == "", _WHOLE).otherwise(day))
         many = {p: f for p, f in self.current.folders(LEDGER).items() if len(f) > LEDGER_FOLDERS}
         if many:

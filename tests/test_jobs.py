@@ -401,3 +401,11 @@ def test_checks_read_only_the_buckets_they_need(spark, tmp_path, monkeypatch):
     put(tmp_path / "stream" / DAY / "14" / "tickets.csv", TICKET_HEADER + ticket("t8", "o9") + ticket("t9", "o77") + ticket("t10", "o1", agent=4))
     later = status_by_file(run_once(make_run(spark, tmp_path), f"{tmp_path}/stream"))
     assert later["14/tickets.csv"] == ("success", 1, 2)
+
+
+def test_other_dates_in_paths_do_not_matter(spark, tmp_path):
+    """A day's files are found in the ledger wherever they lie, also below and above folders named by other dates."""
+    day = tmp_path / "2025-01-01" / "batch" / DAY
+    put(day / "categories.csv" / "2024-05-05" / "a.csv", "category_id,category_name\n1,Grill\n")
+    load = lambda: [r.status for r in run_batch(make_run(spark, tmp_path), f"{tmp_path}/2025-01-01/batch", ["categories"]).collect()]
+    assert (load(), load()) == (["success"], ["already_processed"])

@@ -127,4 +127,4 @@ def test_ledger_days_are_added_to_and_joined(spark, tmp_path, monkeypatch):
     assert now["2026-01-01"] == old and len(now["2026-01-02"]) <= 3 and "all" in now
     assert {(r.file_path, r.status, r.rows_loaded) for r in wh.ledger().collect()} == {
         ("in/2026-01-01/a", "failed", 0), ("in/x", "skipped", 0), ("in/2026-01-02/a", "success", 5), ("in/2026-01-02/b", "failed", 5)}
-    assert {r.file_path for r in wh.ledger("2026-01-01").collect()} == {"in/2026-01-01/a"}
+    assert {r.file_path for r in wh.ledger("2026-01-01").collect()} == {"in/2026-01-01/a", "in/x"}
