@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordergate.session import scratch_folder
+from ordergate.storage import Storage
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: set[str] = set()
 
 
@@ -52,16 +54,32 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], sche
 
 
 class Scratch:
-    """Tables written once to the shared folder, so that work isn't repeated and lineage is cut."""
+    """Tables written once to the shared folder, so that work isn't repeated and lineage is cut.
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.folder, self.n = spark, scratch_folder(spark, name), 0
+    With ``tidy``, the shuffle files of a table go as soon as it is written: nothing reads them again.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
+        self.spark, self.folder, self.n, self.tidy = spark, scratch_folder(spark, name), 0, tidy
+        self.paths: dict[DataFrame, str] = {}
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.folder}/t{self.n}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        if self.tidy:
+            self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[table] = path
+        return table
+
+    def drop(self, table: DataFrame) -> None:
+        """Remove a kept table that nothing will read again."""
+        Storage(self.spark).delete(self.paths.pop(table))
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from ordergate.llm import language, near, packing, passages, pii, suffix
 from ordergate.llm.frames import Scratch, components
-from ordergate.llm.hashing import sliding
+from ordergate.llm.hashing import mix, sliding
 from ordergate.llm.tokens import word_pieces
 
 SMALL = "/root/testdata/sf0.001"
@@ -172,6 +172,58 @@ def test_smaller_sides():
             assert right[i] == min((j for j in range(i + 1, b) if values[j] < values[i]), default=b)
 
 
+def test_window_centers():
+    """The places whose node of the tree is long enough, repeated values and texts of all lengths included."""
+    rng = np.random.default_rng(5)
+    for distinct in (7, 1 << 62):
+        lengths = np.append(rng.integers(0, 40, 60), [0, 300, 0])
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        values = mix(rng.integers(1, distinct, bounds[-1]).astype(np.uint64))
+        fences = np.zeros(len(values), bool)
+        fences[bounds[:-1][lengths > 0]] = True
+        left, right = passages.smaller_sides(values, fences)
+        for least in (1, 2, 9, 31):
+            assert passages.window_centers(values, bounds, least).tolist() == np.flatnonzero(right - left - 1 >= least).tolist()
+    assert not len(passages.window_centers(values[:0], np.zeros(4, np.int64), 3))
+
+
+def has_passage(x, y):
+    """Whether any run of 50 words of x and any run of 50 to 62 words of y are alike: all pairs of runs, on sets."""
+    if len(x) < 46 or len(y) < 46:
+        return None
+    runs = [set(x[i : i + 46]) for i in range(len(x) - 45)]
+    for q, run in ((q, y[q : q + n]) for n in (46, 52, 58) for q in range(len(y) - n + 1)):
+        other = set(run)
+        for i, own in enumerate(runs):
+            if 100 * len(own & other) >= 80 * len(own | other):
+                return i, q
+    return None
+
+
+def test_near_passages_by_brute_force(spark, prose):
+    """Texts with and without a passage in common, some edited, against all pairs of runs; equal texts, and ids without, too."""
+    docs = []
+    for n in range(20):
+        passage = prose(50 + n, 40000 + n).split()
+        edited = [w if i not in {(7 * n) % 50, (11 * n + 20) % 50} else f"w{i}" for i, w in enumerate(passage)]
+        docs += [(2 * n, f"{prose(n, 41000 + n)} {' '.join(passage)} {prose(9, 42000 + n)}"), (2 * n + 1, f"{prose(5, 43000 + n)} {' '.join(edited[: 50 + n - n % 3 * 4])}")]
+    docs += [(100, docs[0][1].upper()), (101, docs[0][1]), (102, prose(49, 44000)), (103, prose(49, 44000)), (104, prose(50, 44001)), (105, prose(50, 44001)), (None, prose(50, 44001)),
+             (None, None), (106, prose(120, 44002)), (106, prose(120, 44002)), (107, "one"), (108, "one")]
+    got = passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    sequences = [[" ".join(w[i : i + 5]) for i in range(len(w) - 4)] for w in ((t or "").lower().split() for _, t in docs)]
+    distinct = {(d, t) for d, t in docs if t}
+    want = set()
+    for i, (d, t) in enumerate(docs):
+        for j, (e, u) in enumerate(docs):
+            if t and u and (d, t) != (e, u) and (d, e) != (106, 106) and (t.lower() == u.lower() and len(sequences[i]) >= 46 or i // 2 == j // 2 and i < 40 and j < 40
+                                                                     and has_passage(sequences[i], sequences[j])):
+                want |= {d, e}
+    found = {r["doc_id"] for r in got}
+    assert found >= want and not found & {102, 103, 106, 107, 108} and len(distinct) == len(set(docs)) - 1
+    assert {(r["doc_id"], r["partner_id"]) for r in got if r["n_words"] == 59 and r["doc_id"] in (0, 100, 101)} == {(0, 101), (100, 0), (101, 0)}
+    assert {(r["doc_id"], r["partner_id"]) for r in got if r["doc_id"] in (104, 105, None)} == {(104, 105), (105, 104), (None, 104)}
+
+
 def test_near_passages(spark, prose, corner_docs):
     passage = prose(80, 21).split()
     edited = passage[:40] + ["swapped"] + passage[41:]
