@@ -159,32 +159,30 @@ def test_sliding():
 
 # passages
 
-def test_smaller_sides():
-    rng = np.random.default_rng(4)
-    values = rng.integers(0, 9, 200).astype(np.uint64)
-    fences = rng.random(200) < 0.05
-    fences[0] = True
-    bounds = [*np.flatnonzero(fences), 200]
-    left, right = passages.smaller_sides(values, fences)
+def tree_nodes(values, bounds):
+    """What each node of the Cartesian trees spans, by looking at every place."""
+    nodes = []
     for a, b in zip(bounds, bounds[1:]):
         for i in range(a, b):
-            assert left[i] == max((j for j in range(a, i) if values[j] <= values[i]), default=a - 1)
-            assert right[i] == min((j for j in range(i + 1, b) if values[j] < values[i]), default=b)
+            nodes.append((max((j + 1 for j in range(a, i) if values[j] <= values[i]), default=a), min((j for j in range(i + 1, b) if values[j] < values[i]), default=b) - 1))
+    return np.array(nodes).T
 
 
-def test_window_centers():
-    """The places whose node of the tree is long enough, repeated values and texts of all lengths included."""
+def test_compact_windows():
+    """Ends of all windows, and which are long enough; repeated values and texts of all lengths included."""
     rng = np.random.default_rng(5)
     for distinct in (7, 1 << 62):
         lengths = np.append(rng.integers(0, 40, 60), [0, 300, 0])
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         values = mix(rng.integers(1, distinct, bounds[-1]).astype(np.uint64))
-        fences = np.zeros(len(values), bool)
-        fences[bounds[:-1][lengths > 0]] = True
-        left, right = passages.smaller_sides(values, fences)
+        left, right = tree_nodes(values, bounds)
+        first, end = np.repeat(bounds[:-1], lengths), np.repeat(bounds[1:], lengths)
+        low, high = passages.window_ends(values, np.arange(len(values)), first, end)
+        assert low.tolist() == left.tolist() and high.tolist() == right.tolist()
         for least in (1, 2, 9, 31):
-            assert passages.window_centers(values, bounds, least).tolist() == np.flatnonzero(right - left - 1 >= least).tolist()
-    assert not len(passages.window_centers(values[:0], np.zeros(4, np.int64), 3))
+            assert passages.window_centers(values, bounds, least).tolist() == np.flatnonzero(right - left + 1 >= least).tolist()
+    none = np.zeros(0, np.int64)
+    assert not len(passages.window_centers(values[:0], np.zeros(4, np.int64), 3)) and not len(passages.window_ends(values, none, none, none)[0])
 
 
 def has_passage(x, y):
