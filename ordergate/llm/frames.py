@@ -66,13 +66,15 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.folder}/t{self.n}"
-        before = self.spark.conf.get(_CLEANUP, "false")
         if self.tidy:
+            before = self.spark.conf.get(_CLEANUP, "false")
             self.spark.conf.set(_CLEANUP, "true")
-        try:
+            try:
+                df.write.parquet(path)
+            finally:
+                self.spark.conf.set(_CLEANUP, before)
+        else:
             df.write.parquet(path)
-        finally:
-            self.spark.conf.set(_CLEANUP, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.paths[table] = path
         return table
