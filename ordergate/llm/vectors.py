@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ordergate.llm.frames import Scratch, ship
 
 SHARD, BLOCK = 4096, 4096
+#: To this depth the threshold algorithm reads all lists first.
+FIRST_DEPTH = 8
 #: Of the graphs: edges of a node, beam, relaxation of the pruning, nodes expanded at a time, shard rows.
 EDGES, BEAM, ALPHA, EXPAND, GRAPH_SHARD = 32, 96, 1.2, 4, 8192
 #: Beam of the final search.
@@ -61,46 +63,40 @@ def _top(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tupl
         floor = np.partition(scores, len(scores) - k)[-k]
         ok = scores >= floor
         ids, scores = ids[ok], scores[ok]
-    by = np.lexsort((ids, -scores))[:k]
+    by = np.lexsort((-ids, scores))[::-1][:k]
     return ids[by], scores[by]
 
 
 def threshold_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int):
-    """The k best inner products of each query by the threshold algorithm; yields (query id, ids, scores).
+    """The k best inner products of each query by the threshold algorithm; yields (query id, ids, scores, rows scored).
 
-    Each dimension has its list of rows sorted by value, read from the end that favours the query's sign, and all lists
-    are read to the same depth. What has been met is scored in full. The depth's bound (the sum
-    of the products at that depth) is the most a row not met can reach: once the kth score exceeds it, the search
-    ends. The depth doubles; when the lists read would amount to a quarter of the shard, the rest of the rows are
-    scored as one block, which is the end of all lists.
+    Each dimension has its list of rows sorted by value, read from the end that favours the query's sign (lists of dimensions
+    where the query is 0 aren't read), all to the same depth, which doubles. A row is scored in full when it is met first. The
+    depth's bound (the sum of the products at that depth) is the most a row not met can reach: once the kth score exceeds
+    it, the search ends. Lists are read to their ends where the bound never falls below it, or where products may wrap.
     """
     n, d = rows.shape
-    exact = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * d < 2**53
-    rows, queries = (x.astype(np.float64 if exact else np.int64) for x in (rows, queries))
+    most = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * d
+    bounded = most < 2**62
+    rows, queries = (x.astype(np.float64 if most < 2**53 else np.int64) for x in (rows, queries))
     order = np.argsort(rows, axis=0, kind="stable")
-    live, depth = np.arange(len(queries)), 8
     columns = np.arange(d)
-    while len(live) and depth * d < n / 4:
-        low, high = order[:depth], order[n - depth :]
-        rest = []
-        for at in live:
-            q = queries[at]
-            met = np.unique(np.where(q > 0, high, low)[:, q != 0])
-            scores = rows[met] @ q
-            edge = np.where(q > 0, rows[order[n - depth], columns], rows[order[depth - 1], columns])
-            bound = float((edge * q).sum())
-            own, best = _top(query_ids[at], ids[met], scores, k)
-            if len(own) == k and best[-1] > bound:
-                yield query_ids[at], own, best
-            else:
-                rest.append(at)
-        live, depth = np.array(rest, np.int64), depth * 2
-    for at in range(0, len(live), 256):
-        part = live[at : at + 256]
-        scores = queries[part] @ rows.T
-        for i, row in zip(part, scores, strict=True):
-            own, best = _top(query_ids[i], ids, row, k)
-            yield query_ids[i], own, best
+    for query, q in zip(query_ids, queries, strict=True):
+        used = q != 0 if q.any() else np.ones(d, bool)
+        met = np.zeros(n, bool)
+        own, best = ids[:0], np.zeros(0, rows.dtype)
+        read, depth = 0, min(FIRST_DEPTH, n)
+        while read < n:
+            new = np.zeros(n, bool)
+            new[np.where(q > 0, order[n - depth : n - read][::-1], order[read:depth])[:, used]] = True
+            new &= ~met
+            met |= new
+            own, best = _top(query, np.concatenate([own, ids[new]]), np.concatenate([best, rows[new] @ q]), k)
+            edge = rows[np.where(q > 0, order[n - depth], order[depth - 1]), columns]
+            if bounded and len(own) == k and best[-1] > (edge * q).sum():
+                break
+            read, depth = depth, min(2 * depth, n)
+        yield query, own, best, int(met.sum())
 
 
 def _meetings(candidates: DataFrame, queries: DataFrame, shards: int) -> object:
@@ -122,7 +118,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out = ([], [], [])
         if len(left) and len(right):
-            for q, own, best in threshold_search(right["id"].to_numpy(), _matrix(right["v"]), left["id"].to_numpy(), _matrix(left["v"]), k):
+            for q, own, best, _ in threshold_search(right["id"].to_numpy(), _matrix(right["v"]), left["id"].to_numpy(), _matrix(left["v"]), k):
                 out[0].append(np.full(len(own), q))
                 out[1].append(own)
                 out[2].append(best.astype(np.int64))

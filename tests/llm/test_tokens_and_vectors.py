@@ -118,13 +118,30 @@ def test_exact_top_k(spark, monkeypatch):
 
 
 def test_threshold_stops_early():
-    """A dimension that decides: the algorithm must stop before the whole shard is scored and still be right."""
+    """A dimension that decides: few rows may be scored, and the result must still be right."""
     rng = np.random.default_rng(0)
     rows = rng.integers(-3, 4, (2000, 2))
     rows[:50, 0] += 500
-    found = list(vectors.threshold_search(np.array([-1]), np.array([[3, 1]]), np.arange(2000), rows, 5))
+    (_, found, _, scored), = vectors.threshold_search(np.array([-1]), np.array([[3, 1]]), np.arange(2000), rows, 5)
     s = rows @ np.array([3, 1])
-    assert found[0][1].tolist() == np.lexsort((np.arange(2000), -s))[:5].tolist()
+    assert found.tolist() == np.lexsort((np.arange(2000), -s))[:5].tolist()
+    assert scored < 50
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 30])
+def test_threshold_reads_lists_to_the_end(scale):
+    """Ties, repeated rows and ids, queries with zeros or only zeros, fewer rows than k, products beyond 53 and 64 bits: always the plain result."""
+    rng = np.random.default_rng(3)
+    for n, d, k in ((1, 3, 5), (7, 2, 7), (40, 5, 3), (900, 8, 20)):
+        rows = rng.integers(-2, 3, (n, d)) * scale
+        ids = rng.integers(0, n, n)
+        queries = np.concatenate([rows[:6], np.zeros((1, d), int), rng.integers(-1, 2, (5, d)) * (scale * 3)])
+        query_ids = np.arange(len(queries))
+        for at, found, best, scored in vectors.threshold_search(query_ids, queries, ids, rows, k):
+            s = rows @ queries[at]
+            want = [i for i in np.lexsort((-ids, s))[::-1] if ids[i] != at][:k]
+            assert list(zip(found.tolist(), best.astype(np.int64).tolist())) == [(ids[i], s[i]) for i in want]
+            assert scored <= n
 
 
 def test_graph_recall(spark, monkeypatch):
