@@ -10,7 +10,7 @@ histogram of ``capacity`` entries at most, whatever the corpus. On it the driver
 by multiplicative weights: lengths little covered so far weigh more; the configuration of most weight
 is found by dynamic programming over the capacity (an unbounded knapsack) and used for a share of what it can
 take. Rounded down, configurations take what is there; what remains is filled best-fit, longest piece first, each
-next piece the longest that fits. The plan is compared with best fit alone and the better one taken.
+next piece the longest that fits. This plan is taken unless best fit alone needs fewer sequences.
 
 Pieces get their places without a sort or a task per length: a piece's number among those of its length
 is its number within its partition plus the counts of the partitions before, and the plan maps numbers to sequences.
@@ -112,34 +112,31 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dic
     if not len(sizes):
         return full
     demand = np.array([histogram[int(s)] for s in sizes], np.int64)
+    covered, use = np.zeros(len(sizes)), {}
+    for _ in range(STEPS):
+        weight = np.exp(-SHARPNESS * covered) * sizes
+        weight[covered >= 1] = 0
+        if not weight.any():
+            break
+        pick = _heaviest(weight, sizes, capacity)
+        room = min(demand[i] * max(1 - covered[i], 0) / n for i, n in pick.items())
+        amount = max(SHARE * room, min(room, 1.0))
+        for i, n in pick.items():
+            covered[i] += amount * n / demand[i]
+        key = tuple(sorted(pick.items()))
+        use[key] = use.get(key, 0.0) + amount
+    left, plan = demand.copy(), []
+    fill = lambda key: sum(int(sizes[i]) * n for i, n in key)
+    for key in sorted(use, key=lambda k: (-fill(k), k)):
+        times = min(int(use[key] + 1e-9), *(int(left[i]) // n for i, n in key))
+        if times:
+            for i, n in key:
+                left[i] -= n * times
+            plan.append((dict(key), times))
+    plan += _best_fit(sizes, left, capacity)
     plain = _best_fit(sizes, demand, capacity)
-    bound = -(-int((sizes * demand).sum()) // capacity)
-    best = plain
-    if sum(n for _, n in plain) > bound:
-        covered, use = np.zeros(len(sizes)), {}
-        for _ in range(STEPS):
-            weight = np.exp(-SHARPNESS * covered) * sizes
-            weight[covered >= 1] = 0
-            if not weight.any():
-                break
-            pick = _heaviest(weight, sizes, capacity)
-            room = min(demand[i] * max(1 - covered[i], 0) / n for i, n in pick.items())
-            amount = max(SHARE * room, min(room, 1.0))
-            for i, n in pick.items():
-                covered[i] += amount * n / demand[i]
-            key = tuple(sorted(pick.items()))
-            use[key] = use.get(key, 0.0) + amount
-        left, plan = demand.copy(), []
-        fill = lambda key: sum(int(sizes[i]) * n for i, n in key)
-        for key in sorted(use, key=lambda k: (-fill(k), k)):
-            times = min(int(use[key] + 1e-9), *(int(left[i]) // n for i, n in key))
-            if times:
-                for i, n in key:
-                    left[i] -= n * times
-                plan.append((dict(key), times))
-        plan += _best_fit(sizes, left, capacity)
-        if sum(n for _, n in plan) <= sum(n for _, n in plain):
-            best = plan
+    sequences = lambda p: sum(n for _, n in p)
+    best = plan if sequences(plan) <= sequences(plain) else plain
     return full + [({int(sizes[i]): n for i, n in use_.items()}, times) for use_, times in best]
 
 

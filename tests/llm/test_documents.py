@@ -351,6 +351,18 @@ def test_plan_takes_every_piece():
     assert taken == histogram and packing.solve({}, 100) == []
 
 
+def test_program_beats_best_fit():
+    """Here best fit takes 6 with 4 and 3 with 3 and 3; the program finds what also uses the last place."""
+    histogram = {6: 100, 4: 200, 3: 300}
+    sizes = np.array(sorted(histogram))
+    plain = sum(n for _, n in packing._best_fit(sizes, np.array([histogram[s] for s in sizes]), 10))
+    plan = packing.solve(histogram, 10)
+    taken = Counter()
+    for use, times in plan:
+        taken.update({s: n * times for s, n in use.items()})
+    assert taken == histogram and 230 <= sum(n for _, n in plan) < plain == 250
+
+
 # language
 
 def test_language(spark, corner_docs):
