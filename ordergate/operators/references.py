@@ -3,13 +3,15 @@
 Keys are never collected. The key side is one narrow column of unique values,
 so a join cannot multiply rows; adaptive execution broadcasts it when it is
 small and splits the fact side when one key value is hot. ``salt`` does the
-split ahead of time for clusters that run without adaptive skew handling.
+split ahead of time for clusters that run without adaptive skew handling. Stored rows are tested by
+their distinct values, so that only values that fail meet the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from ordergate.registry import TableSpec, declared_references
 ORPHAN, ORPHAN_COLUMN, ORPHAN_VALUE = "_orphan", "_orphan_column", "_orphan_value"
 
 DEFAULT_ORPHAN_THRESHOLD = 0.05
+#: Up to this many unknown values of a check are sent to every task (keys are numbers or ids of 36 letters); more are tested by a shuffle of the rows.
+FEW_UNKNOWN = 100_000
 
 
 @dataclass(frozen=True)
@@ -121,11 +125,16 @@ def label_orphans(
     if not failures:
         nothing = F.lit(None).cast("string")
         return df.withColumns({c: nothing for c in (ORPHAN, ORPHAN_COLUMN, ORPHAN_VALUE)})
+    return _labelled(df, joined, failures, where)
+
+
+def _labelled(df: DataFrame, joined: DataFrame, failures: Sequence[tuple[KeyCheck, Column]], where: Column | None) -> DataFrame:
+    """``df`` with the first failing check of each row, from ``joined``, which has what the failures refer to."""
     scope = F.lit(True) if where is None else where
     label = F.coalesce(*[F.when(scope & failed, F.lit(check.label)) for check, failed in failures])
     labelled = joined.select(*[F.col(c) for c in df.columns], label.alias(ORPHAN))
     # Column and value follow from the label, so each test is evaluated once.
-    is_label = [(F.col(ORPHAN) == check.label, check.column) for check in checks]
+    is_label = [(F.col(ORPHAN) == check.label, check.column) for check, _ in failures]
     return labelled.withColumns({
         ORPHAN_COLUMN: F.coalesce(*[F.when(hit, F.lit(column)) for hit, column in is_label]),
         ORPHAN_VALUE: F.coalesce(*[
@@ -133,6 +142,47 @@ def label_orphans(
     })
 
 
+def unknown_values(rows: DataFrame, check: KeyCheck, slot: str | None = None) -> DataFrame:
+    """Distinct values of a check's column (with the row's slot, if the check asks for it) that fail it, but NULL. Rows are reduced to these before they are shuffled."""
+    columns = [check.column, slot] if check.since else [check.column]
+    values = rows.where(F.col(check.column).isNotNull()).select(*columns).distinct()
+    joined, ok = _join_keys(values, check, 0, check.column, 1, slot)
+    return joined.where(~ok & _any_known(check, slot)).select(*columns)
+
+
+def label_orphans_by_value(
+    df: DataFrame,
+    checks: Sequence[KeyCheck],
+    row_key: str,
+    keep: Callable[[DataFrame, str], DataFrame],
+    salt: int = 1,
+    slot: str | None = None,
+    where: Column | None = None,
+) -> DataFrame:
+    """:func:`label_orphans` for rows that are stored and parents that are large.
+
+    Each check's distinct values are tested first, and only the unknown ones meet the rows: no row is shuffled for a
+    check with at most ``FEW_UNKNOWN`` of them. ``keep`` writes a frame under a name and reads it again.
+    """
+    checks = [c for c in checks if c.column in df.columns]
+    scoped = df if where is None else df.where(where)
+    joined, failures = df, []
+    for i, check in enumerate(checks):
+        unknown = keep(unknown_values(scoped, check, slot), check.label)
+        if unknown.limit(FEW_UNKNOWN + 1).count() > FEW_UNKNOWN:
+            joined, ok = _join_keys(joined, check, i, row_key, salt, slot)
+            failures.append((check, ~ok & _any_known(check, slot)))
+            continue
+        names = [f"_u{i}_{n}" for n in range(len(unknown.columns))]
+        matched = [F.col(c) == F.col(n) for c, n in zip(unknown.columns, names, strict=True)]
+        joined = joined.join(F.broadcast(unknown.toDF(*names)), reduce(Column.__and__, matched), "left")
+        failed = F.col(names[0]).isNotNull()
+        if not check.null_passes:
+            failed |= F.col(check.column).isNull() & _any_known(check, slot)
+        failures.append((check, failed))
+    return _labelled(df, joined, failures, where) if failures else label_orphans(df, [], row_key)
+
+
 def key_text(df: DataFrame, column: str) -> Column:
     """A key as text; whole numbers without a fraction."""
     col = F.col(column)

@@ -231,3 +231,56 @@ def test_hot_and_missing_keys_are_split_in_a_shuffled_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def star_orders(spark, n=4000):
+    """Orders with a hot unknown customer, NULL keys, doubles for drivers and slots; row n is the same for every run."""
+    return spark.range(n).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, 77).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 40).cast("int").alias("customer_id"),
+        F.when(F.col("id") % 13 == 0, None).otherwise(F.col("id") % 25).cast("double").alias("driver_id"),
+        (F.col("id") % 30).cast("int").alias("region_id"), F.format_string("%02d", F.col("id") % 4).alias("slot"),
+        (F.col("id") % 5 != 0).alias("good"), F.repeat(F.lit("wide"), 50).alias("payload"))
+
+
+@pytest.mark.parametrize("few", [0, 3, 100_000])
+def test_labels_by_value_equal_labels_by_row(spark, monkeypatch, tmp_path, few):
+    """Unknown, NULL and late keys, an empty parent, a parent without slots, whichever way a check's unknown values take."""
+    monkeypatch.setattr(refs, "FEW_UNKNOWN", few)
+    late = spark.range(35).select(F.col("id").cast("int").alias("customer_id"), F.format_string("%02d", F.col("id") % 6).alias("since"))
+    checks = [refs.KeyCheck("customer_id", late, "orphan_customer", since="since"),
+              refs.KeyCheck("driver_id", spark.range(20).select(F.col("id").cast("int").alias("driver_id")), "orphan_driver", null_passes=True),
+              refs.KeyCheck("region_id", keys(spark, "region_id"), "orphan_region"),
+              refs.KeyCheck("absent", keys(spark, "absent", 1), "orphan_absent")]
+
+    def keep(values, label):
+        values.write.parquet(str(tmp_path / label))
+        return spark.read.schema(values.schema).parquet(str(tmp_path / label))
+
+    rows = star_orders(spark)
+    by_row = refs.label_orphans(rows, checks, "order_id", slot="slot", where=F.col("good"))
+    by_value = refs.label_orphans_by_value(rows, checks, "order_id", keep, slot="slot", where=F.col("good"))
+    assert by_value.columns == by_row.columns
+    assert by_value.exceptAll(by_row).count() == by_row.exceptAll(by_value).count() == 0
+    assert {r[0] for r in by_value.select("_orphan").distinct().collect()} == {None, "orphan_customer", "orphan_driver"}
+    none = refs.label_orphans_by_value(rows, [], "order_id", keep)
+    assert none.columns == by_row.columns and none.where("_orphan is not null").count() == 0
+
+
+def test_no_row_is_shuffled_for_a_check_by_value(spark, tmp_path):
+    """With automatic broadcasting off, the labelled rows' plan has no exchange but that of the few unknown values."""
+    def keep(values, label):
+        values.write.parquet(str(tmp_path / label))
+        return spark.read.schema(values.schema).parquet(str(tmp_path / label))
+
+    checks = [refs.KeyCheck("customer_id", spark.range(40).select(F.col("id").cast("int").alias("customer_id")), "orphan_customer", some=True),
+              refs.KeyCheck("driver_id", spark.range(20).select(F.col("id").cast("int").alias("driver_id")), "orphan_driver", some=True)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" in plan(refs.label_orphans(star_orders(spark), checks, "order_id"))
+        by_value = refs.label_orphans_by_value(star_orders(spark), checks, "order_id", keep)
+        assert "Exchange hashpartitioning" not in plan(by_value) and "BroadcastHashJoin" in plan(by_value)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
