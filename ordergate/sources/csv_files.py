@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ordergate.functions.coerce import csv_missing_to_null
 from ordergate.registry import TableSpec
 from ordergate.session import local_frame
+from ordergate.sources import csv_records
 
 _RAW, _EXTRA = "_raw_line", "_extra_field"
 
@@ -60,29 +61,32 @@ def _too_many_fields(width: int) -> Column:
 
 
 def _read_group(
-    spark: SparkSession, paths: list[str], names: list[str], encoding: str, multi_line: bool,
+    spark: SparkSession, paths: list[str], names: list[str], encoding: str, layout: str,
     spec: TableSpec,
 ) -> DataFrame:
     schema, fields = _positional_schema(names, spec)
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", _RAW)
-        .csv(paths)
-    )
-    lineage = rows.select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.struct(
+    if layout == csv_records.RECORDS:
+        records = csv_records.read_records(spark, paths, encoding)
+        types = ", ".join(f"`{f.name}` string" for f in schema.fields)
+        parsed = F.from_csv("record", types, {"escape": '"', "columnNameOfCorruptRecord": _RAW})
+        rows = records.select("_file", "block", "row", F.inline(F.array(parsed)))
+        order = F.struct("block", "row").alias("_order")
+    else:
+        rows = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("encoding", encoding)
+            .option("escape", '"')
+            .option("multiLine", layout == csv_records.WHOLE)
+            .option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", _RAW)
+            .csv(paths)
+        ).withColumn("_file", F.col("_metadata.file_path"))
+        order = F.struct(
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
-        ).alias("_order"),
-        *[F.col(f) for f in fields if not f.startswith("_unused_")],
-        _EXTRA, _RAW,
-    )
+        ).alias("_order")
+    lineage = rows.select("_file", order, *[F.col(f) for f in fields if not f.startswith("_unused_")], _EXTRA, _RAW)
     kept = lineage.where(~_too_many_fields(len(names)))
     return kept.select(
         "_file", "_order",
@@ -97,19 +101,24 @@ def read_csv(spark: SparkSession, files: list, spec: TableSpec, check_columns: b
     """Rows of many files as text columns with ``_file`` and ``_order``.
 
     ``files`` are fingerprinted file rows (path, header, is_utf8, has_quotes).
-    Files that share header, encoding and quoting are one scan; splits stay
-    parallel unless quoted fields may span lines.
+    Files that share header, encoding and layout are one scan. Splits of a file are parallel, also where
+    quoted fields span lines, but for files with quotes that only the parser can tell apart.
     """
-    groups = defaultdict(list)
+    by_encoding, headers = defaultdict(list), {}
     for f in files:
         names = tuple(split_header(f.header))
         if not names or (check_columns and missing_columns(f.header, spec)):
             continue
-        encoding = "UTF-8" if f.is_utf8 else "ISO-8859-1"
-        groups[names, encoding, bool(f.has_quotes)].append(f.path)
+        headers[f["_file"]] = names
+        by_encoding["UTF-8" if f.is_utf8 else "ISO-8859-1"].append(f)
+    groups = defaultdict(list)
+    for encoding, some in by_encoding.items():
+        layouts = csv_records.layouts(spark, [f for f in some if f.has_quotes], encoding)
+        for f in some:
+            groups[headers[f["_file"]], encoding, layouts.get(f["_file"], csv_records.LINES)].append(f.path)
     scans = [
-        _read_group(spark, paths, list(names), encoding, quoted, spec)
-        for (names, encoding, quoted), paths in sorted(groups.items())
+        _read_group(spark, paths, list(names), encoding, layout, spec)
+        for (names, encoding, layout), paths in sorted(groups.items())
     ]
     if not scans:
         fields = ", ".join(f"{c} string" for c in spec.column_names)

@@ -1,11 +1,14 @@
 """Tolerant readers, file facts and the ledger on hand-made files."""
 
 import hashlib
+import random
+
+import pytest
 
 
 from ordergate import table
 from ordergate.session import local_frame
-from ordergate.sources import csv_files, files, json_files
+from ordergate.sources import csv_files, csv_records, files, json_files
 from ordergate.sources.ledger import LEDGER_SCHEMA, ledger_rows, list_processed, mark_done, status_of
 
 REGION, CATEGORY, CITY = table("regions"), table("categories"), table("cities")
@@ -133,3 +136,59 @@ def test_large_text_files_are_hashed_by_line(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     marked = files.fingerprint(spark, files.list_files(spark, str(tmp_path)), as_text=False).collect()
     assert {r.md5 for r in marked} == {files.OVERSIZED}
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "61")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def quoted_csv(seed, rows, width=2):
+    """Fields with newlines, commas and doubled quotes, literal quotes inside unquoted ones, blank lines and lines of the wrong width."""
+    rng = random.Random(seed)
+    pieces = ["a", "bc", "\n", "\n\n", ",", '""', " ", "\né", "x y", ',""\n""']
+
+    def field():
+        kind = rng.random()
+        if kind < 0.5:
+            return "".join(rng.choice(["a", "bc", " d", "é"]) for _ in range(rng.randint(0, 4)))
+        if kind < 0.6:
+            return 'in"side' + rng.choice(["", '"', " z"])
+        return '"' + "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) + '"'
+
+    lines = [",".join(field() for _ in range(rng.choice([width] * 6 + [1, width + 1, width + 2]))) for _ in range(rows)]
+    return "category_id,category_name\n" + "\n".join(lines) + rng.choice(["", "\n", "\n\n"])
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
+def test_records_over_lines_equal_the_whole_file_reader(spark, tmp_path, small_splits, encoding):
+    for seed in range(6):
+        (tmp_path / f"{seed}.csv").write_bytes(("\n\n" if seed == 3 else "").encode() + quoted_csv(seed, 60).encode(encoding))
+    found = facts(spark, tmp_path)
+    how = csv_records.layouts(spark, found, "UTF-8" if encoding == "utf-8" else "ISO-8859-1")
+    assert set(how.values()) == {csv_records.RECORDS} and len(how) == 6
+    by_records = csv_files.read_csv(spark, found, CATEGORY)
+    whole = csv_files._read_group(spark, [f.path for f in found], ["category_id", "category_name"], "UTF-8" if encoding == "utf-8" else "ISO-8859-1", csv_records.WHOLE, CATEGORY)
+
+    def rows(df):
+        out = {}
+        for r in df.orderBy("_file", "_order").collect():
+            out.setdefault(r["_file"], []).append((r.category_id, r.category_name))
+        return out
+
+    assert rows(by_records) == rows(whole) and sum(map(len, rows(whole).values())) > 200
+    read = csv_records.read_records(spark, [found[0].path], "UTF-8")
+    assert spark.read.text(found[0].path).rdd.getNumPartitions() > 5 and read.select("block").distinct().count() > 5
+
+
+def test_layouts(spark, tmp_path, small_splits):
+    """Quotes within lines are no reason to read a file whole; a field that is never closed or has an odd quote is."""
+    texts = {"plain": '1,"a, b"\n2,"say ""hi"""\n3,5" pipe\n', "spans": '1,"a\nb"\n', "open": '1,"a\nb\n' * 3, "odd": '1,"a\nb" c"\n2,"d\ne"\n'}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text("category_id,category_name\n" + text)
+    how = {k.rsplit("/", 1)[1]: v for k, v in csv_records.layouts(spark, facts(spark, tmp_path), "UTF-8").items()}
+    assert how == {"plain.csv": csv_records.LINES, "spans.csv": csv_records.RECORDS, "open.csv": csv_records.WHOLE, "odd.csv": csv_records.WHOLE}
+    assert csv_records.layouts(spark, [], "UTF-8") == {}
