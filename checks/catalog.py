@@ -17,7 +17,7 @@ from ordergate.operators import metrics, quarantine
 from ordergate.operators import references as refs
 from ordergate.operators import validation as val
 from ordergate.plans import batch, reports, states, table_job, views
-from ordergate.registry import BATCH_FILES, FACT_REFERENCES, STREAM_FILES, TABLES
+from ordergate.registry import BATCH_FILES, FACT_REFERENCES, STREAM_FILES, TABLES, declared_references
 from ordergate.session import local_frame, scratch_folder
 from ordergate.sources import csv_files, json_files, ledger
 from ordergate.sources import files as sources
@@ -133,6 +133,20 @@ def csv_encoding_fallback(spark, sf_dir):
     return _read_csv_folder(spark, folder, spec).select(*spec.column_names)
 
 
+@query
+def csv_quoted_lines(spark, sf_dir):
+    """Names over two lines, with commas and quotes: each file is read by the splits it has."""
+    spec = TABLES["categories"]
+
+    def make(folder):
+        name = F.concat(F.replace("p_name", F.lit(" "), F.lit("\n")), F.lit(', ""'), "p_type", F.lit('""\n\n,'))
+        rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+            F.col("p_partkey").cast("string").alias("category_id"), F.col("p_partkey").alias("_order"),
+            F.concat(F.lit('"'), name, F.lit('"')).alias("category_name"))
+        fx.write_csv(rows, folder, spec.column_names, spec.key, {"all": F.lit("parts")})
+    return _read_csv_folder(spark, fx.once(spark, sf_dir, "csv-quoted", make), spec).select(*spec.column_names)
+
+
 @query
 def na_sentinels(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -504,6 +518,45 @@ def fk_orphan_orders(spark, sf_dir):
         "_file", "order_id", "rejection_reason", "orphan_fk_col", "orphan_fk_value")
 
 
+def _keeping(spark, name):
+    folder = scratch_folder(spark, name)
+
+    def keep(values, label):
+        values.write.parquet(f"{folder}/{label}")
+        return spark.read.schema(values.schema).parquet(f"{folder}/{label}")
+    return keep
+
+
+@query
+def fk_labels_by_value(spark, sf_dir):
+    """The cascade of orders, each key column tested by its distinct values."""
+    spec = TABLES["orders"]
+    rows = val.valid_rows(labelled(spark, sf_dir, "orders"), spec)
+    parents = _parents(spark, sf_dir, [p for _, p, _ in FACT_REFERENCES["orders"]])
+    found = refs.label_orphans_by_value(
+        rows, refs.fact_checks(FACT_REFERENCES["orders"], parents), spec.key, _keeping(spark, "fk-values"))
+    return refs.orphan_rows(found).select("_file", "order_id", "rejection_reason", "orphan_fk_col", "orphan_fk_value")
+
+
+@query
+def fk_declared_all(spark, sf_dir):
+    """Every key a table declares, with a third of each parent's keys taken away: orphans by table, label and value."""
+    counts = []
+    for name, spec in TABLES.items():
+        declared = declared_references(spec)
+        if not declared:
+            continue
+        parents = {}
+        for _, parent, _ in declared:
+            key = TABLES[parent].key
+            parents[parent] = refs.known_keys(typed(spark, sf_dir, parent).where(F.col(key).cast("bigint") % 3 != 1), key)
+        rows = val.keep_first(typed(spark, sf_dir, name), spec)
+        found = refs.label_orphans_by_value(rows, refs.declared_checks(spec, parents), spec.key, _keeping(spark, f"declared-{name}"))
+        counts.append(refs.orphan_rows(found).where(F.col(spec.key).isNotNull()).groupBy("rejection_reason", "orphan_fk_value").agg(
+            F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("child"), "*"))
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 @query
 def fk_cascade_label(spark, sf_dir):
     return _checked(spark, sf_dir, "tickets").select("_file", "ticket_id", F.col("_orphan").alias("label"))

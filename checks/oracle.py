@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks.adapters import duck
 from checks.catalog import _BATCH_TABLES, BAD_LINE, RUN_DATE, RUN_TIME
+from ordergate.registry import TABLES, declared_references
 
 SQL: dict[str, str] = {}
 
@@ -295,6 +296,26 @@ SQL["fk_orphan_orders"] = f"""SELECT _file, order_id, orphan AS rejection_reason
     coalesce(CAST(CAST(CASE orphan WHEN 'orphan_customer' THEN customer_id WHEN 'orphan_restaurant' THEN restaurant_id
       WHEN 'orphan_driver' THEN driver_id ELSE region_id END AS BIGINT) AS VARCHAR), '') AS orphan_fk_value
   FROM ({tested('orders')}) t WHERE orphan IS NOT NULL"""
+SQL["fk_labels_by_value"] = SQL["fk_orphan_orders"]
+
+
+def _declared_orphans() -> str:
+    parts = []
+    for name, spec in TABLES.items():
+        cases, values = [], []
+        for column, parent, label in declared_references(spec):
+            keys = f"SELECT {KEYS[parent]} FROM ({coerced(parent)}) p WHERE CAST({KEYS[parent]} AS BIGINT) % 3 <> 1"
+            bad = f"{column} NOT IN ({keys}) AND EXISTS ({keys})"
+            cases.append(f"WHEN {bad} THEN '{label}'")
+            values.append(f"WHEN {bad} THEN CAST(CAST({column} AS BIGINT) AS VARCHAR)")
+        if cases:
+            parts.append(f"""SELECT '{name}' AS child, rejection_reason, orphan_fk_value, count(*) AS rows FROM (
+              SELECT CASE {' '.join(cases)} END AS rejection_reason, CASE {' '.join(values)} END AS orphan_fk_value
+              FROM ({collapsed(name)}) c WHERE {spec.key} IS NOT NULL) x WHERE rejection_reason IS NOT NULL GROUP BY ALL""")
+    return " UNION ALL ".join(parts)
+
+
+SQL["fk_declared_all"] = _declared_orphans()
 SQL["fk_cascade_label"] = f"SELECT _file, ticket_id, orphan AS label FROM ({tested('tickets')}) t"
 for _query, _table in (("orphans_orders", "orders"), ("orphans_tickets", "tickets"), ("orphans_events", "ticket_events")):
     SQL[_query] = f"""SELECT orphan AS rejection_reason, count(*) AS rows FROM ({tested(_table)}) t
@@ -394,6 +415,8 @@ SQL["csv_scan"] = f"""SELECT * EXCLUDE (_file, _order, line) REPLACE (
   FROM (SELECT *, {BAD_LINE} AS line FROM ({duck('customers')}) c WHERE customer_id IS NOT NULL) x
   WHERE line % 7 NOT IN (1, 2)"""
 SQL["csv_encoding_fallback"] = """SELECT CAST(p_partkey AS VARCHAR) AS category_id, 'café ' || p_name AS category_name FROM part"""
+SQL["csv_quoted_lines"] = """SELECT CAST(p_partkey AS VARCHAR) AS category_id,
+    replace(p_name, ' ', chr(10)) || ', "' || p_type || '"' || chr(10) || chr(10) || ',' AS category_name FROM part"""
 SQL["json_scan"] = f"SELECT {', '.join(as_text('orders').replace(f'strftime(order_created_at, {TS}) AS ', '').replace(f'strftime(delivered_at, {TS}) AS ', '').split(', '))} FROM ({duck('orders')}) o"
 SQL["batch_manifest_counts"] = " UNION ALL ".join(
     f"SELECT '{t}' AS tbl, count(*) AS rows FROM ({duck(t)}) x" for t in _BATCH_TABLES)
