@@ -7,7 +7,8 @@ stops the others.
 Files are read member by member, whatever their size, each registered column as a
 variant: there an absent key is NULL and a JSON null is not. A first pass finds
 for each file whether it can be read and which columns no member has; the
-second reads the rows of the good ones.
+second reads the rows of the good ones. Files of up to ``SPLIT_FROM`` bytes are one task each,
+larger ones are read by as many as they have splits.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ from pyspark.sql import types as T
 
 from ordergate.registry import TableSpec
 from ordergate.session import local_frame
+from ordergate.sources import json_records
 
+# A file that Spark would read in one split anyway gains nothing from finding its members first.
+SPLIT_FROM = 2**27
 # Marks the one row that stands for a file holding an empty array.
 EMPTY_LIST = ""
 
@@ -58,24 +62,75 @@ def _file_errors(spark: SparkSession, files: list, spec: TableSpec) -> dict[str,
     return errors | _without_rows(spark, [f.path for f in files if f["_file"] not in found])
 
 
+_BEFORE = r"^(\ufeff?[\s\[,]*)"
+# What may stand before a member: the array's start, a comma, nothing (a bare object).
+_KINDS = {"start": r"^\ufeff?\s*\[\s*$", "next": r"^\s*,\s*$", "bare": r"^\ufeff?\s*$"}
+
+
+def _split_members(spark: SparkSession, paths: list[str], spec: TableSpec) -> DataFrame:
+    """Members of large files: ``_file``, their place, what is before them (``_kind``), and the columns as variants; what is no member has no ``_kind`` but a ``_rest``."""
+    found = json_records.members(spark, paths)
+    kind = F.coalesce(*[F.when(F.regexp_extract("value", _BEFORE, 1).rlike(p), F.lit(k)) for k, p in _KINDS.items()], F.lit("bad"))
+    types = ", ".join([*(f"`{c}` variant" for c in spec.column_names), "_bad string"])
+    parsed = F.from_json(F.regexp_replace("value", _BEFORE, ""), types, {"columnNameOfCorruptRecord": "_bad"})
+    rows = found.select(
+        "_file", "block", "row", F.when(F.col("closed"), kind).alias("_kind"), F.when(~F.col("closed"), F.col("value")).alias("_rest"),
+        F.when(F.col("closed"), parsed).alias("_parsed"))
+    return rows.select("_file", "block", "row", "_kind", "_rest", F.inline_outer(F.array("_parsed")))
+
+
+def _split_errors(spark: SparkSession, files: list, spec: TableSpec) -> dict[str, str]:
+    """:func:`_file_errors` of large files."""
+    if not files:
+        return {}
+    names, member = spec.column_names, F.col("_kind").isNotNull()
+    of_kind = lambda k: F.count_if(F.col("_kind") == k)
+    facts = _split_members(spark, [f.path for f in files], spec).groupBy("_file").agg(
+        F.count_if(member).alias("_members"), *[of_kind(k).alias(f"_{k}") for k in ("start", "next", "bare")],
+        F.min_by("_kind", F.when(member, F.struct("block", "row"))).alias("_first"), F.bool_or(member & F.col("_bad").isNotNull()).alias("_broken"),
+        F.count("_rest").alias("_rests"), F.coalesce(F.max(F.substring("_rest", 1, 1000)), F.lit("")).alias("_rest"), *[F.bool_and(F.col(c).isNull()).alias(c) for c in names])
+    # What is left over is a closing bracket, or a whole file without members.
+    rest = F.when(F.col("_rests") <= 1, F.col("_rest")).otherwise("broken")
+    facts = facts.withColumns({
+        "_list": (F.col("_first") == "start") & (F.col("_start") == 1) & (F.col("_next") == F.col("_members") - 1) & rest.rlike(r"^\s*\]\s*$"),
+        "_object": (F.col("_first") == "bare") & (F.col("_members") == 1) & rest.rlike(r"^\s*$"),
+        "_none": (F.col("_members") == 0) & rest.rlike(r"^\ufeff?\s*\[\s*\]\s*$")})
+    errors = {}
+    for r in facts.select("_file", "_list", "_object", "_none", "_broken", *names).collect():
+        absent = [c for c in names if r[c]]
+        if r["_none"]:
+            errors[r["_file"]] = EMPTY_LIST
+        elif r["_broken"] or not (r["_list"] or r["_object"]):
+            errors[r["_file"]] = "Malformed JSON"
+        elif absent:
+            errors[r["_file"]] = f"Missing required columns: {', '.join(absent)}"
+    return errors
+
+
 def read_json(spark: SparkSession, files: list, spec: TableSpec) -> DataFrame:
     """Rows of many files with ``_file``, ``_order`` and ``_error``.
 
     ``files`` are listed file rows (path, length).
     """
     files = [f for f in files if f.length > 0]
-    errors = _file_errors(spark, files, spec) if files else {}
+    large, small = [f for f in files if f.length > SPLIT_FROM], [f for f in files if f.length <= SPLIT_FROM]
+    errors = (_file_errors(spark, small, spec) if small else {}) | _split_errors(spark, large, spec)
     names = spec.column_names
     columns = ", ".join(f"{c} string" for c in names)
     rows = local_frame(
         spark, [(file, {"block": 0, "row": 0}, *[None] * len(names), error) for file, error in errors.items()],
         f"_file string, _order struct<block: bigint, row: bigint>, {columns}, _error string")
-    good = [f.path for f in files if f["_file"] not in errors]
-    if not good:
-        return rows
-    read = _members(spark, good, spec).select(
-        "_file", _order(F.col("_row")), *[_text(F.col(c)).alias(c) for c in names], F.lit(None).cast("string").alias("_error"))
-    return rows.unionByName(read)
+    good, split = ([f.path for f in some if f["_file"] not in errors] for some in (small, large))
+    if good:
+        rows = rows.unionByName(_as_text(_members(spark, good, spec), _order(F.col("_row")), names))
+    if split:
+        members = _split_members(spark, split, spec).where("_kind is not null")
+        rows = rows.unionByName(_as_text(members, F.struct("block", "row").alias("_order"), names))
+    return rows
+
+
+def _as_text(members: DataFrame, order: Column, names: list[str]) -> DataFrame:
+    return members.select("_file", order, *[_text(F.col(c)).alias(c) for c in names], F.lit(None).cast("string").alias("_error"))
 
 
 def _order(row: Column) -> Column:

@@ -1,6 +1,7 @@
 """Tolerant readers, file facts and the ledger on hand-made files."""
 
 import hashlib
+import json
 import random
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 
 from ordergate import table
 from ordergate.session import local_frame
-from ordergate.sources import csv_files, csv_records, files, json_files
+from ordergate.sources import csv_files, csv_records, files, json_files, json_records
 from ordergate.sources.ledger import LEDGER_SCHEMA, ledger_rows, list_processed, mark_done, status_of
 
 REGION, CATEGORY, CITY = table("regions"), table("categories"), table("cities")
@@ -57,7 +58,10 @@ def test_missing_folder_is_no_error(spark, tmp_path):
     assert files.list_files(spark, f"{tmp_path}/none").count() == 0
 
 
-def test_json_shapes(spark, tmp_path):
+@pytest.mark.parametrize("split", [False, True])
+def test_json_shapes(spark, tmp_path, monkeypatch, split):
+    if split:
+        monkeypatch.setattr(json_files, "SPLIT_FROM", 0)
     whole = '{"city_id": 1, "city_name": "N/A", "country": null, "timezone": NaN}'
     cases = {
         "list": f"[{whole}, {{\"city_id\": 2.0}}]", "bare": whole, "empty": "[]", "scalar": "5",
@@ -192,3 +196,41 @@ def test_layouts(spark, tmp_path, small_splits):
     how = {k.rsplit("/", 1)[1]: v for k, v in csv_records.layouts(spark, facts(spark, tmp_path), "UTF-8").items()}
     assert how == {"plain.csv": csv_records.LINES, "spans.csv": csv_records.RECORDS, "open.csv": csv_records.WHOLE, "odd.csv": csv_records.WHOLE}
     assert csv_records.layouts(spark, [], "UTF-8") == {}
+
+
+def json_text(rng, value):
+    return json.dumps(value, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, None, 1]))
+
+
+def test_members_of_split_arrays_equal_the_whole_file_reader(spark, tmp_path, small_splits, monkeypatch):
+    """Braces, quotes and backslashes in strings, nested values, white space, repeated members, files cut short or with surplus: same rows, same errors."""
+    rng = random.Random(4)
+    texts = ["a", "}", "{", '"', "\\", "\\\"}", "é", "},{", "[", "\n", "x" * 90, "]"]
+
+    def member():
+        name = "".join(rng.choice(texts) for _ in range(rng.randint(0, 6)))
+        country = rng.choice([name, None, {"deep": [{"}": name}, {}]}, 2.5, True, [1, {"a": "{"}]])
+        return {"city_id": rng.randint(0, 99), "city_name": name, "country": country, "timezone": "t"}
+
+    for n in range(8):
+        rows = [member() for _ in range(30)]
+        sep = rng.choice([",", ", ", ",\n  "])
+        (tmp_path / f"list{n}.json").write_text("[" + sep.join(json_text(rng, r) for r in rows + rows[:2]) + rng.choice(["]", "]\n", "\n ] \n"]))
+    one = member()
+    (tmp_path / "bare.json").write_text(json.dumps(one) + "\n")
+    (tmp_path / "cut.json").write_text(json.dumps([member() for _ in range(9)])[:-30])
+    (tmp_path / "lacking.json").write_text(json.dumps([{"city_id": n, "city_name": "{"} for n in range(20)]))
+    found = files.list_files(spark, str(tmp_path)).collect()
+
+    def rows():
+        out = {}
+        for r in json_files.read_json(spark, found, CITY).orderBy("_file", "_order").collect():
+            out.setdefault(r["_file"].rsplit("/", 1)[1], []).append((r.city_id, r.city_name, r.country, r.timezone, r["_error"]))
+        return out
+
+    whole = rows()
+    monkeypatch.setattr(json_files, "SPLIT_FROM", 0)
+    assert rows() == whole
+    assert [len(whole[f"list{n}.json"]) for n in range(8)] == [32] * 8 and whole["cut.json"][0][4] == "Malformed JSON"
+    path = next(f.path for f in found if f.path.endswith("list0.json"))
+    assert json_records.members(spark, [path]).select("block").distinct().count() > 5
