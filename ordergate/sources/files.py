@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ordergate.registry import BATCH_FILES, STREAM_FILES
 from ordergate.session import local_frame
 
-# Up to this size a file's content is hashed and inspected as one value, which Spark bounds. Larger CSV
-# files are hashed line by line; a larger JSON file fails, alone, and should come as a folder of parts.
+# Up to this size a file's content is hashed and inspected as one value, which Spark bounds. Larger files are hashed piece
+# by piece: CSV files by lines, JSON files by what ends at a closing brace. Only a single such piece must not be larger.
 LARGEST_FILE = 2**31 - 1024
 
 FILE_COLUMNS = (
@@ -86,7 +86,6 @@ def stream_files(spark: SparkSession, stream_dir: str, run_date: str) -> DataFra
 HEADER_BYTES = 65_536
 FINGERPRINT = "_file string, md5 string, is_utf8 boolean, header string, has_quotes boolean"
 EMPTY_MD5 = "d41d8cd98f00b204e9800998ecf8427e"
-OVERSIZED = "oversized"
 
 
 def fingerprint(
@@ -96,27 +95,27 @@ def fingerprint(
 
     One pass over the bytes answers all file-level questions at once: has the
     content changed, how is it encoded, what is its first line. The last three
-    are only asked ``as_text``. The hash of a text file beyond ``LARGEST_FILE`` is that of
-    its lines and their places; another such file has none.
+    are only asked ``as_text``, which JSON files aren't. The hash of a file beyond ``LARGEST_FILE`` is that of
+    its pieces and their places.
     """
     sizes = files.where("length > 0").select("path", "length").collect()
     whole, large = [r.path for r in sizes if r.length <= LARGEST_FILE], [r.path for r in sizes if r.length > LARGEST_FILE]
     facts = _inspect_whole(spark, whole, as_text) if whole else _empty(spark, FINGERPRINT)
-    if large and as_text:
-        facts = facts.unionByName(_inspect_lines(spark, large))
+    if large:
+        facts = facts.unionByName(_inspect_lines(spark, large) if as_text else _inspect_lines(spark, large, "}").select(
+            "_file", "md5", *_not_text()))
     joined = files.join(facts, "_file", "left")
-    unknown = F.when(F.col("length") == 0, EMPTY_MD5).otherwise(OVERSIZED)
-    return joined.withColumn("md5", F.coalesce("md5", unknown))
+    return joined.withColumn("md5", F.coalesce("md5", F.lit(EMPTY_MD5)))
 
 
-def _inspect_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The facts of large text files, each read by many tasks.
+def _inspect_lines(spark: SparkSession, paths: list[str], end: str = "\n") -> DataFrame:
+    """The facts of large files, each read by many tasks in lines, or pieces with another ``end``.
 
     A line's place is its byte offset: the bytes of the blocks before its own and of the lines before it in its block. So
     the sum over all lines doesn't depend on where the file was split, but on the order of its lines.
     """
     start = F.substring(F.col("value").cast("binary"), 1, HEADER_BYTES)
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
+    lines = spark.read.option("lineSep", end).text(paths).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("n"), (F.octet_length("value") + 1).cast("long").alias("size"),
         F.xxhash64("value").bitwiseAND(F.lit(2**31 - 1)).alias("a"), F.shiftrightunsigned(F.xxhash64("value"), 33).alias("b"),
@@ -146,13 +145,15 @@ def _first_line(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, "^[\ufeff\\s]*([^\r\n]+)", 1), F.lit(""))
 
 
+def _not_text() -> list[Column]:
+    return [F.lit(True).alias("is_utf8"), F.lit(None).cast("string").alias("header"), F.lit(False).alias("has_quotes")]
+
+
 def _inspect_whole(spark: SparkSession, paths: list[str], as_text: bool) -> DataFrame:
     content = spark.read.format("binaryFile").load(paths)
     name, md5 = F.col("_metadata.file_path").alias("_file"), F.md5("content").alias("md5")
     if not as_text:
-        return content.select(
-            name, md5, F.lit(True).alias("is_utf8"),
-            F.lit(None).cast("string").alias("header"), F.lit(False).alias("has_quotes"))
+        return content.select(name, md5, *_not_text())
     text = F.col("content").cast("string")
     utf8 = F.is_valid_utf8(text)
     readable = F.when(utf8, text).otherwise(F.decode("content", "ISO-8859-1"))

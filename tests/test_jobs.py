@@ -355,9 +355,9 @@ def test_committed_quarantine_and_removed_staging(spark, loaded):
     assert all(p.name.endswith("-files") for run in (root / "staging").iterdir() for p in run.iterdir())
 
 
-def test_an_oversized_file_fails_alone(spark, tmp_path, monkeypatch):
-    """A part that is too large beside a loaded one: the loaded one's ledger row stays, other parts load, nothing is loaded twice."""
-    from ordergate.sources import files
+def test_a_large_json_file_loads_and_a_broken_one_fails_alone(spark, tmp_path, monkeypatch):
+    """Parts that are read by their members beside a loaded one: the loaded one's ledger row stays, nothing is loaded twice."""
+    from ordergate.sources import files, json_files
 
     day = tmp_path / "batch" / DAY / "cities.json"
     city = lambda *ids: [{"city_id": i, "city_name": f"c{i}", "country": "EG", "timezone": "x"} for i in ids]
@@ -370,14 +370,15 @@ def test_an_oversized_file_fails_alone(spark, tmp_path, monkeypatch):
     put(day / "c.json", city(4))
     with monkeypatch.context() as m:
         m.setattr(files, "LARGEST_FILE", 150)
+        m.setattr(json_files, "SPLIT_FROM", 100)
+        (day / "d.json").write_text('[{"city_id": 5, "city_name": "' + "x" * 200)
         found = load()
-        assert found["a.json"][0] == "already_processed" and found["c.json"][:2] == ("success", 1)
-        assert found["b.json"][0] == "failed" and "folder of parts" in found["b.json"][2]
-        assert ledger()["a.json"] == before and ledger()["b.json"][0] == "failed"
-        assert load()["b.json"][0] == "failed"
+        assert found["a.json"][0] == "already_processed" and found["b.json"][:2] == ("success", 2) and found["c.json"][:2] == ("success", 1)
+        assert found["d.json"] == ("failed", 0, "Malformed JSON")
+        assert ledger()["a.json"] == before and ledger()["b.json"][0] == "success" and ledger()["d.json"][0] == "failed"
+        assert [load()[f"{f}.json"][0] for f in "abcd"] == ["already_processed"] * 3 + ["failed"]
     log = make_run(spark, tmp_path).warehouse.quality_log()
-    assert sorted(Path(r.source_file).name for r in log.collect()) == ["a.json", "c.json"]
-    assert load()["b.json"][:2] == ("success", 2)
+    assert sorted(Path(r.source_file).name for r in log.collect()) == ["a.json", "b.json", "c.json"]
     assert {r.city_id for r in make_run(spark, tmp_path).warehouse.read("cities").collect()} == {1, 2, 3, 4}
 
 

@@ -138,8 +138,20 @@ def test_large_text_files_are_hashed_by_line(spark, tmp_path, monkeypatch):
         assert facts_of() == large
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    marked = files.fingerprint(spark, files.list_files(spark, str(tmp_path)), as_text=False).collect()
-    assert {r.md5 for r in marked} == {files.OVERSIZED}
+
+
+def test_large_json_files_are_hashed_by_piece(spark, tmp_path, monkeypatch, small_splits):
+    rows = [{"id": n, "name": f"x{n}}}"} for n in range(50)]
+    texts = {"a": rows, "same": rows, "swap": [rows[1], rows[0], *rows[2:]], "short": rows[:-1]}
+    for name, value in texts.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(value))
+    monkeypatch.setattr(files, "LARGEST_FILE", 5)
+    marked = lambda: {r["_file"].rsplit("/")[-1][:-5]: (r.md5, r.is_utf8, r.header, r.has_quotes) for r in files.fingerprint(
+        spark, files.list_files(spark, str(tmp_path)), as_text=False).collect()}
+    found = marked()
+    assert found["a"] == found["same"] and len({f[0] for f in found.values()}) == 3 and found["a"][1:] == (True, None, False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    assert marked() == found
 
 
 @pytest.fixture
