@@ -417,6 +417,7 @@ SQL["csv_scan"] = f"""SELECT * EXCLUDE (_file, _order, line) REPLACE (
 SQL["csv_encoding_fallback"] = """SELECT CAST(p_partkey AS VARCHAR) AS category_id, 'café ' || p_name AS category_name FROM part"""
 SQL["csv_quoted_lines"] = """SELECT CAST(p_partkey AS VARCHAR) AS category_id,
     replace(p_name, ' ', chr(10)) || ', "' || p_type || '"' || chr(10) || chr(10) || ',' AS category_name FROM part"""
+SQL["json_split_scan"] = """SELECT CAST(p_partkey AS VARCHAR) AS category_id, p_name || '}, {"' || chr(92) || p_type AS category_name FROM part"""
 SQL["json_scan"] = f"SELECT {', '.join(as_text('orders').replace(f'strftime(order_created_at, {TS}) AS ', '').replace(f'strftime(delivered_at, {TS}) AS ', '').split(', '))} FROM ({duck('orders')}) o"
 SQL["batch_manifest_counts"] = " UNION ALL ".join(
     f"SELECT '{t}' AS tbl, count(*) AS rows FROM ({duck(t)}) x" for t in _BATCH_TABLES)

@@ -107,13 +107,14 @@ def _split_errors(spark: SparkSession, files: list, spec: TableSpec) -> dict[str
     return errors
 
 
-def read_json(spark: SparkSession, files: list, spec: TableSpec) -> DataFrame:
+def read_json(spark: SparkSession, files: list, spec: TableSpec, split_from: int | None = None) -> DataFrame:
     """Rows of many files with ``_file``, ``_order`` and ``_error``.
 
-    ``files`` are listed file rows (path, length).
+    ``files`` are listed file rows (path, length); those above ``split_from`` bytes (``SPLIT_FROM``) are split.
     """
+    limit = SPLIT_FROM if split_from is None else split_from
     files = [f for f in files if f.length > 0]
-    large, small = [f for f in files if f.length > SPLIT_FROM], [f for f in files if f.length <= SPLIT_FROM]
+    large, small = [f for f in files if f.length > limit], [f for f in files if f.length <= limit]
     errors = (_file_errors(spark, small, spec) if small else {}) | _split_errors(spark, large, spec)
     names = spec.column_names
     columns = ", ".join(f"{c} string" for c in names)
