@@ -1,6 +1,7 @@
 """Whole jobs on hand-written files."""
 
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -347,6 +348,14 @@ def test_alerts_of_a_run(spark, loaded):
                       ("orphan_rate", "08/tickets.csv"): (1, 2), ("orphan_rate", "08/ticket_events.json"): (1, 2)}
 
 
+def test_quarantine_files_are_gzipped(spark, tmp_path):
+    from ordergate.operators import quarantine
+    folder = quarantine.write(spark.range(3).withColumn("_file", F.lit("x")), str(tmp_path), "orders", "data_validation", DAY, "b")
+    files = [n for n in os.listdir(folder) if n.startswith("part-")]
+    assert files and all(n.endswith(".csv.gz") for n in files)
+    assert sorted(r.id for r in spark.read.option("header", True).csv(folder).collect()) == ["0", "1", "2"]
+
+
 def test_committed_quarantine_and_removed_staging(spark, loaded):
     root = loaded[0]
     bad = Warehouse(spark, f"{root}/wh").quarantined("orders", "orphan_reference", DAY)
