@@ -1,5 +1,6 @@
 """Tolerant readers, file facts and the ledger on hand-made files."""
 
+import gzip
 import hashlib
 import json
 import random
@@ -54,6 +55,42 @@ def test_missing_columns_and_empty_files(spark, tmp_path):
     assert by_name["zero.csv"].length == 0 and by_name["zero.csv"].md5 == hashlib.md5(b"").hexdigest()
 
 
+def test_gzipped_files_have_the_facts_and_rows_of_plain_ones(spark, tmp_path):
+    texts = {"utf8": "\n \ncategory_id,category_name\n1,caf\u00e9\n2,\"a,b\"\n".encode(), "latin": "category_id,category_name\n3,caf\u00e9\n".encode("latin-1"),
+             "plain": b"\xef\xbb\xbfcategory_id,category_name\n4,x\n5,N/A\n", "lines": b'category_id,category_name\n6,"two\nlines"\n', "blank": b"\n"}
+    for name, text in texts.items():
+        for kind, write in (("a", bytes), ("z", gzip.compress)):
+            (tmp_path / kind).mkdir(exist_ok=True)
+            (tmp_path / kind / f"{name}.csv{'.gz' if kind == 'z' else ''}").write_bytes(write(text))
+    told = {kind: {f.path.rsplit("/", 1)[1].split(".")[0]: (f.is_utf8, f.header, f.has_quotes) for f in facts(spark, tmp_path / kind)} for kind in "az"}
+    assert told["a"] == told["z"] and len(told["z"]) == 5
+    packed = {f.path.rsplit("/", 1)[1].split(".")[0]: f.md5 for f in facts(spark, tmp_path / "z")}
+    assert packed == {name: hashlib.md5((tmp_path / "z" / f"{name}.csv.gz").read_bytes()).hexdigest() for name in texts}
+    rows = read(spark, tmp_path / "z", CATEGORY)
+    assert rows == read(spark, tmp_path / "a", CATEGORY) and ("1", "caf\u00e9") in rows and ("6", "two\nlines") in rows
+
+
+def test_gzipped_json(spark, tmp_path):
+    members = [{"city_id": i, "city_name": f"c{i}", "country": None, "timezone": "x"} for i in range(3)]
+    (tmp_path / "c.json.gz").write_bytes(gzip.compress(json.dumps(members).encode()))
+    for split_from in (None, 0):
+        rows = json_files.read_json(spark, facts(spark, tmp_path), CITY, split_from=split_from)
+        assert sorted(r.city_id for r in rows.collect()) == ["0", "1", "2"]
+
+
+def test_delivered_files_are_cut_within_their_slot(spark, tmp_path, monkeypatch):
+    """Forty rows in four slots, at most ten a file: four gzipped files, not sixteen."""
+    from checks import files as delivered
+    monkeypatch.setattr(delivered, "ROWS_PER_FILE", 10)
+    rows = spark.range(40).selectExpr(
+        "cast(id as string) category_id", "concat('n', id) category_name", "id as _order", "lpad(cast(id % 4 as string), 2, '0') slot")
+    delivered.write_table(rows, "categories", "csv", "categories.csv", str(tmp_path), "2024-01-01")
+    found = facts(spark, tmp_path)
+    assert len(found) == 4 and all(f.path.endswith(".gz") for f in found)
+    back = csv_files.read_csv(spark, found, CATEGORY).select("category_id", "category_name").collect()
+    assert sorted(map(tuple, back)) == sorted((str(i), f"n{i}") for i in range(40))
+
+
 def test_missing_folder_is_no_error(spark, tmp_path):
     assert files.list_files(spark, f"{tmp_path}/none").count() == 0
 
