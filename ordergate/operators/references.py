@@ -3,7 +3,8 @@
 Keys are never collected. The key side is one narrow column of unique values,
 so a join cannot multiply rows; adaptive execution broadcasts it when it is
 small and splits the fact side when one key value is hot. ``salt`` does the
-split ahead of time for clusters that run without adaptive skew handling. Stored rows are tested by
+split ahead of time for sessions that run without adaptive skew handling; with it keys are never
+repeated, since every task of a broadcast join would hold all the repeats. Stored rows are tested by
 their distinct values, so that only values that fail meet the rows.
 """
 
@@ -75,6 +76,11 @@ def _any_known(check: KeyCheck, slot: str | None) -> Column:
     return F.coalesce(earliest <= F.col(slot), F.lit(False))
 
 
+def _splits_hot_keys(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return all(conf.get(f"spark.sql.adaptive.{x}").lower() == "true" for x in ("enabled", "skewJoin.enabled"))
+
+
 def _join_keys(
     df: DataFrame, check: KeyCheck, index: int, row_key: str, salt: int, slot: str | None
 ) -> tuple[DataFrame, Column]:
@@ -91,7 +97,7 @@ def _join_keys(
         probe = probe.cast("double")
         keys = keys.withColumn(found, F.col(found).cast("double"))
     matched = probe == F.col(found)
-    if salt > 1:
+    if salt > 1 and not _splits_hot_keys(df):
         keys = keys.withColumn(salted, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         matched &= F.pmod(F.xxhash64(row_key), F.lit(salt)) == F.col(salted)
     joined = df.join(keys, matched, "left")

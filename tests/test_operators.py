@@ -138,6 +138,21 @@ def test_empty_parent_switches_the_check_off(spark):
     assert refs.orphan_rows(refs.label_orphans(orders(spark), [check], "order_id")).count() == 0
 
 
+def test_keys_are_repeated_only_where_spark_does_not_split_hot_keys(spark):
+    check = refs.KeyCheck("customer_id", keys(spark, "customer_id", 1, 2), "orphan_customer")
+    found = []
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            labelled = refs.label_orphans(orders(spark), [check], "order_id", salt=5)
+            repeated = "Generate" in labelled._jdf.queryExecution().executedPlan().toString()
+            assert repeated == (adaptive == "false")
+            found.append(sorted(r.order_id for r in refs.orphan_rows(labelled).collect()))
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+    assert found[0] == found[1] == ["o2", "o3"]
+
+
 def test_null_passes_a_declared_key(spark):
     check = refs.KeyCheck("customer_id", keys(spark, "customer_id", 1), "unknown_customer", null_passes=True)
     bad = refs.orphan_rows(refs.label_orphans(orders(spark), [check], "order_id"))
