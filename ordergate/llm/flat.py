@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordergate.llm.frames import Scratch, arrow_map
-from ordergate.llm.tokens import word_pieces
+from ordergate.llm.tokens import portions, word_pieces
 
 BLOCK_BYTES = 1 << 20
 LEVEL = 1024
@@ -49,8 +49,8 @@ def flat_blocks(docs: DataFrame, tokenizer: str, separator: int, block_bytes: in
                                                "payload": pa.array([payload], pa.binary()), "ended": pa.array([ids], pa.list_(pa.int64()))})
 
         for batch in batches:
-            for at in range(0, len(batch), 250):
-                part = batch.slice(at, 250)
+            for low, high in portions(batch.column(1)):
+                part = batch.slice(low, high - low)
                 for doc, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
                     ids = np.frombuffer(ids, "<u4")
                     if (ids == separator).any() or (ids > 0xFFFF).any():

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordergate.llm.frames import Scratch, arrow_map
-from ordergate.llm.tokens import word_pieces
+from ordergate.llm.tokens import portions, word_pieces
 
 CAPACITY = 2048
 STEPS, SHARE, SHARPNESS = 400, 0.5, 8.0
@@ -46,15 +46,15 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_: str =
         encoder, block, seen = word_pieces(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         step = capacity * 4
         for batch in batches:
-            for at in range(0, len(batch), 250):
-                part = batch.slice(at, 250)
+            for low, high in portions(batch.column(1)):
+                part = batch.slice(low, high - low)
                 out: list[list] = [[] for _ in range(7)]
                 for doc, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
                     ids += b"\0\0\0\0"
-                    for n, low in enumerate(range(0, len(ids), step)):
-                        body = ids[low : low + step]
+                    for n, start in enumerate(range(0, len(ids), step)):
+                        body = ids[start : start + step]
                         size = len(body) // 4
-                        for column, value in zip(out, (doc, n, low // 4, size, zlib.crc32(body), block, seen[size]), strict=True):
+                        for column, value in zip(out, (doc, n, start // 4, size, zlib.crc32(body), block, seen[size]), strict=True):
                             column.append(value)
                         seen[size] += 1
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())

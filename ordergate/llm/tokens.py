@@ -15,12 +15,17 @@ import gc
 import json
 import os
 import re
+from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE = 700_000
 LONGEST = 40
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-įĲ-ň]+")  # NFC, and lower case letter by letter
+_NONE = np.iinfo(np.int32).max  # no rank
+_PLAIN = re.compile(rf"^[!-~À-ÖØ-öø-įĲ-ň]{{1,{LONGEST}}}$", re.M)  # NFC, and lower case letter by letter; one a line
 # Fixed value: the split rule of such files, and what it comes to on plain chunks.
 _RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
@@ -70,88 +75,88 @@ class WordPieces:
             slot[(p + step) & ((1 << self.bits) - 1)] = i
             self.probes = max(self.probes, step + 1)
         self.slot_key = np.where(slot >= 0, keys[np.maximum(slot, 0)], -1)
-        self.slot_rank = np.where(slot >= 0, slot, np.iinfo(np.int32).max)
+        self.slot_rank = np.where(slot >= 0, slot, _NONE)
         self.made = made
 
     def _place(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left << 32 | right
-        place = self._place(keys)
-        rank = np.full(keys.shape, np.iinfo(np.int32).max, np.int64)
-        rest = np.arange(keys.size)
-        flat, out, keys = place.reshape(-1), rank.reshape(-1), keys.reshape(-1)
-        for step in range(self.probes):
-            at = (flat[rest] + step) & ((1 << self.bits) - 1)
-            got = self.slot_key[at]
-            hit = got == keys[rest]
-            out[rest[hit]] = self.slot_rank[at[hit]]
-            rest = rest[~hit & (got >= 0)]
+        keys = (left << 32 | right).reshape(-1)
+        at = self._place(keys)
+        got = self.slot_key[at]
+        rank = np.where(got == keys, self.slot_rank[at], _NONE)
+        rest = np.flatnonzero((got != keys) & (got >= 0))
+        for _ in range(1, self.probes):
             if not len(rest):
                 break
-        return rank
+            at[rest] = (at[rest] + 1) & ((1 << self.bits) - 1)
+            got = self.slot_key[at[rest]]
+            hit = got == keys[rest]
+            rank[rest[hit]] = self.slot_rank[at[rest[hit]]]
+            rest = rest[~hit & (got >= 0)]
+        return rank.reshape(left.shape)
 
-    def _merge(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words of one length, as little-endian 32-bit bytes."""
-        none = np.iinfo(np.int32).max
-        raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
+    def _merge(self, words: list[str]) -> list[bytes]:
+        """Ids of words of as many bytes, as little-endian 32-bit bytes. Every word still open merges once a round, so
+        all open ones have the same number of parts."""
+        raw = np.frombuffer("".join(words).encode(), np.uint8).reshape(len(words), -1)
         ids = self.letter[raw]
         ids[:, -1] = self.last_letter[raw[:, -1]]
-        n, width = ids.shape
-        out: list[bytes | None] = [None] * n
-        who, size = np.arange(n), np.full(n, width)
-        ranks = np.full((n, width), none, np.int64)
-        if width > 1:
-            ranks[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
-        cols = np.arange(width)
+        out: list[bytes] = [b""] * len(words)
+        who, width = np.arange(len(words)), ids.shape[1]
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
         while len(who):
-            at = ranks.argmin(1)
             row = np.arange(len(who))
-            best = ranks[row, at]
-            done = best == none
+            at = ranks.argmin(1) if width > 1 else np.zeros(len(who), np.int64)
+            best = ranks[row, at] if width > 1 else np.full(len(who), _NONE)
+            done = best == _NONE
             if done.any():
-                flat = ids[done].astype("<u4")
-                for w, f, k in zip(who[done].tolist(), flat, size[done].tolist(), strict=True):
-                    out[w] = f[:k].tobytes()
-                ids, ranks, who, size, at, best = (x[~done] for x in (ids, ranks, who, size, at, best))
+                flat, step = ids[done].astype("<u4").tobytes(), 4 * width
+                for k, w in enumerate(who[done].tolist()):
+                    out[w] = flat[k * step : (k + 1) * step]
+                ids, ranks, who, at, best = (x[~done] for x in (ids, ranks, who, at, best))
                 row = np.arange(len(who))
                 if not len(who):
                     break
-            # drop the right partner: what follows moves one place to the left
-            source = np.minimum(cols + (cols > at[:, None]), width - 1)
-            ids = np.take_along_axis(ids, source, 1)
-            ranks = np.take_along_axis(ranks, source, 1)
+            # the right partner and the rank of the pair go: what follows moves one place to the left
+            cols = np.arange(width)
+            ids = ids[cols != at[:, None] + 1]
+            ranks = ranks[cols[:-1] != at[:, None]]
+            width -= 1
+            ids, ranks = ids.reshape(len(who), width), ranks.reshape(len(who), width - 1)
             ids[row, at] = self.made[best]
-            size = size - 1
-            ranks[:, -1] = none
-            ranks[row, np.maximum(size - 1, 0)] = none
             for side in (at - 1, at):
-                ok = (side >= 0) & (side + 1 < size)
-                r, s = row[ok], side[ok]
-                ranks[r, s] = self._ranks(ids[r, s], ids[r, s + 1])
+                ok = np.flatnonzero((side >= 0) & (side + 1 < width))
+                s = side[ok]
+                ranks[ok, s] = self._ranks(ids[ok, s], ids[ok, s + 1])
         return out
 
     def _learn(self, chunks: list[str]) -> None:
-        plain, other = [], []
-        special = self.special.search
-        for c in chunks:
-            easy = self.known and len(c) <= LONGEST and _PLAIN.fullmatch(c) and not special(c)
-            (plain if easy else other).append(c)
-        split = []
-        for c in "\n".join(plain).lower().split("\n") if plain else ():
-            # most chunks are one word, or one and a mark
-            split.append((c,) if c.isalpha() else (c[:-1], c[-1]) if c[-1] in ",." and c[:-1].isalpha() else _WORDS.findall(c))
+        plain: list[str] = []
+        if self.known:
+            lines = "\n".join(chunks)
+            plain = _PLAIN.findall(lines)
+            if self.special.search(lines):
+                plain = [c for c in plain if not self.special.search(c)]
+        lower = "\n".join(plain).lower().split("\n") if plain else []
+        # most chunks are one word, or one and a mark
+        one = list(map(str.isalpha, lower))
+        split = {c: (low[:-1], low[-1]) if low[-1] in ",." and low[:-1].isalpha() else _WORDS.findall(low)
+                 for c, low, is_one in zip(plain, lower, one, strict=True) if not is_one}
         if len(self.words) > CACHE:
             self.words.clear()
-        new: dict[int, list[bytes]] = {}
-        for w in {w for ws in split for w in ws if w not in self.words}:
-            b = w.encode()
-            new.setdefault(len(b), []).append(b)
+        wanted = set(compress(lower, one)).union(*split.values())
+        new: dict[int, list[str]] = {}
+        for w in wanted.difference(self.words):
+            new.setdefault(len(w.encode()), []).append(w)
         for group in new.values():
-            self.words.update(zip((b.decode() for b in group), self._merge(group), strict=True))
-        self.chunks.update(zip(plain, (b"".join(map(self.words.__getitem__, ws)) for ws in split), strict=True))
-        if other:
+            self.words.update(zip(group, self._merge(group), strict=True))
+        word = self.words.__getitem__
+        self.chunks.update(zip(compress(plain, one), map(word, compress(lower, one)), strict=True))
+        self.chunks.update((c, b"".join(map(word, ws))) for c, ws in split.items())
+        if len(plain) < len(chunks):
+            other = list(set(chunks).difference(plain))
             found = self.library.encode_batch(other, add_special_tokens=False)
             self.chunks.update(zip(other, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
 
@@ -169,10 +174,27 @@ class WordPieces:
         if len(self.chunks) > CACHE:
             self.chunks = {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {c for cs in split for c in cs} - self.chunks.keys()
+        rows = [list(map(self.chunks.get, cs)) for cs in split]
+        holes = [[i for i, x in enumerate(row) if x is None] for row in rows]
+        new = {cs[i] for cs, at in zip(split, holes, strict=True) for i in at}
         if new:
             self._learn(list(new))
-        return [b"".join(map(self.chunks.__getitem__, cs)) for cs in split]
+        for cs, row, at in zip(split, rows, holes, strict=True):
+            for i in at:
+                row[i] = self.chunks[cs[i]]
+        return [b"".join(row) for row in rows]
+
+
+def portions(texts: pa.Array, rows: int = 1000, letters: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Runs of texts to be encoded at a time: first row, row after the last. Many texts share the work on their new words,
+    but few very long ones are enough."""
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    low = 0
+    while low < len(sizes):
+        ends = np.cumsum(sizes[low : low + rows])
+        high = low + max(1, int(np.searchsorted(ends, letters, "right")))
+        yield low, high
+        low = high
 
 
 _loaded: dict[str, WordPieces] = {}

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 from ordergate.llm import language, near, packing, passages, pii, suffix
 from ordergate.llm.frames import Scratch, components
 from ordergate.llm.hashing import mix, sliding
-from ordergate.llm.tokens import word_pieces
+from ordergate.llm.tokens import portions, word_pieces
 
 SMALL = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -324,6 +325,20 @@ def test_word_pieces_equal_the_library(corner_docs):
     assert word_pieces(WORDS).encode(texts) == want
 
 
+def test_words_of_one_length_merge_together():
+    words = ["running", "xqzjvkw", "letters", "aaaaaaa", "the", "qqq", "a", "z"]
+    encoder, library = word_pieces(WORDS), Tokenizer.from_file(WORDS)
+    for size in (7, 3, 1):
+        group = [w for w in words if len(w) == size]
+        assert encoder._merge(group) == [np.array(library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in group]
+
+
+def test_texts_are_encoded_in_runs_of_rows_and_letters():
+    texts = pa.array(["x" * 5, None, "y" * 9, "z", "z", "z", "z"])
+    assert list(portions(texts, rows=3, letters=6)) == [(0, 2), (2, 3), (3, 6), (6, 7)]
+    assert list(portions(pa.array([], pa.string()))) == []
+
+
 def test_pack(corner_docs):
     capacity = 64
     got = packing.pack(corner_docs, WORDS, capacity).toPandas()
