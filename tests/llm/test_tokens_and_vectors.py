@@ -40,6 +40,12 @@ def test_encoding_equals_the_library(spark, unigram, prose):
     assert [sum(scores[i] for i in g) for g in got] == pytest.approx([sum(scores[i] for i in w) for w in want], rel=1e-5)
 
 
+def test_chunks_of_unlike_lengths_are_segmented_together(unigram):
+    chunks = ["▁the", "▁☃thing", "▁", "▁" + "ab" * 50, "▁你好", "▁the", "▁\ue123\ue123x"]
+    got = [np.frombuffer(x, "<i4").tolist() for x in pieces.pieces_of(PIECES)._segment(chunks)]
+    assert got == [unigram.encode(c[1:]) if c != "▁" else [unigram.piece_to_id(c)] for c in chunks]
+
+
 def test_round_trip(corner_docs):
     there = pieces.decode(pieces.encode(corner_docs, PIECES), PIECES)
     assert there.where("not (decoded <=> text)").count() == 0 and there.where("text is null and ids is null").count() == 2
