@@ -78,25 +78,36 @@ def threshold_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray
     n, d = rows.shape
     most = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * d
     bounded = most < 2**62
-    rows, queries = (x.astype(np.float64 if most < 2**53 else np.int64) for x in (rows, queries))
+    kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64  # sums are exact
+    rows, queries = rows.astype(kind), queries.astype(kind)
     order = np.argsort(rows, axis=0, kind="stable")
-    columns = np.arange(d)
+    # how deep each row lies in each list, read from above and (d further on) from below
+    deep = np.empty((2 * d, n), np.int16 if n < 2**15 else np.int64)
+    np.put_along_axis(deep[d:], order.T, np.arange(n, dtype=deep.dtype)[None], axis=1)
+    deep[:d] = n - 1 - deep[d:]
+    depths = [min(FIRST_DEPTH, n)] if n else []
+    while depths and depths[-1] < n:
+        depths.append(min(2 * depths[-1], n))
+    high = np.array([rows[order[n - x], np.arange(d)] for x in depths], kind).reshape(len(depths), d)
+    low = np.array([rows[order[x - 1], np.arange(d)] for x in depths], kind).reshape(len(depths), d)
     for query, q in zip(query_ids, queries, strict=True):
-        used = q != 0 if q.any() else np.ones(d, bool)
-        met = np.zeros(n, bool)
-        own, best = ids[:0], np.zeros(0, rows.dtype)
-        read, depth = 0, min(FIRST_DEPTH, n)
-        while read < n:
-            new = np.zeros(n, bool)
-            new[np.where(q > 0, order[n - depth : n - read][::-1], order[read:depth])[:, used]] = True
-            new &= ~met
-            met |= new
-            own, best = _top(query, np.concatenate([own, ids[new]]), np.concatenate([best, rows[new] @ q]), k)
-            edge = rows[np.where(q > 0, order[n - depth], order[depth - 1]), columns]
-            if bounded and len(own) == k and best[-1] > (edge * q).sum():
+        used, up = np.flatnonzero(q) if q.any() else np.arange(d), q > 0
+        met_at = np.minimum.reduce(deep[np.where(up[used], used, used + d)], axis=0, initial=n)
+        turn = np.argsort(met_at, kind="stable")
+        cuts = np.searchsorted(met_at[turn], np.array(depths, deep.dtype))
+        edges = np.where(up, high, low) @ q
+        own, best, met = ids[:0], np.zeros(0, kind), 0
+        for cut, edge in zip(cuts.tolist(), edges.tolist(), strict=True):
+            new = turn[met:cut]
+            met = cut
+            scores = rows[new] @ q
+            if len(own) == k:
+                new, scores = (x[scores >= best[-1]] for x in (new, scores))
+            if len(new):
+                own, best = _top(query, np.concatenate([own, ids[new]]), np.concatenate([best, scores]), k)
+            if bounded and len(own) == k and best[-1] > edge:
                 break
-            read, depth = depth, min(2 * depth, n)
-        yield query, own, best, int(met.sum())
+        yield query, own, best, met
 
 
 def _meetings(candidates: DataFrame, queries: DataFrame, shards: int) -> object:

@@ -134,6 +134,18 @@ def test_threshold_stops_early():
     assert scored < 50
 
 
+def test_threshold_chooses_again_only_among_better_rows(monkeypatch):
+    calls, top = [], vectors._top
+    monkeypatch.setattr(vectors, "_top", lambda *x: calls.append(1) or top(*x))
+    rows = np.floor(64 * np.random.default_rng(4).normal(size=(4000, 16)) / 4).astype(np.int64)
+    query, depths = rows[0], 10  # 8, 16, ... 4000
+    (_, found, best, scored), = vectors.threshold_search(np.array([-1]), query[None], np.arange(4000), rows, 5)
+    scores = rows @ query
+    want = np.lexsort((np.arange(4000), -scores))[:5]
+    assert found.tolist() == want.tolist() and best.tolist() == scores[want].tolist()
+    assert scored > 3000 and len(calls) < depths - 2
+
+
 @pytest.mark.parametrize("scale", [1, 1 << 30])
 def test_threshold_reads_lists_to_the_end(scale):
     """Ties, repeated rows and ids, queries with zeros or only zeros, fewer rows than k, products beyond 53 and 64 bits: always the plain result."""
