@@ -186,6 +186,38 @@ def test_compact_windows():
     assert not len(passages.window_centers(values[:0], np.zeros(4, np.int64), 3)) and not len(passages.window_ends(values, none, none, none)[0])
 
 
+def test_likely_pairs():
+    """Pairs of small, middle and large groups against all pairs; windows with more candidates than asked for are told."""
+    rng = np.random.default_rng(9)
+    least, group, near = 12, [], []
+    for g, n in enumerate((2, 3, 30, 50, 300)):
+        common = rng.integers(0, 1 << 16, (3, 2 * least - 1))
+        for _ in range(n):
+            row = np.where(rng.random(2 * least - 1) < rng.choice([0.02, 0.1, 0.6]), rng.integers(0, 1 << 16, 2 * least - 1), common[rng.integers(3)])
+            row[rng.integers(2 * least - 1)] = row[0]  # one twice
+            group.append(g)
+            near.append(row.astype(np.uint16))
+    group, live = np.array(group), rng.random(len(near)) < 0.5
+    own = np.where(group == 4, np.arange(len(near)) % 2, 0)
+    c = np.full(len(near), 500)
+    distinct = [max(1, least - (len(x) - len(set(x.tolist())))) for x in near]
+    want = {}
+    for i in np.flatnonzero(live):
+        for j in range(len(near)):
+            other = set(near[j].tolist())
+            shared = len(set(near[i].tolist()) & other)
+            if i != j and group[i] == group[j] and (group[i] != 4 or own[i] != own[j]) and 180 * shared >= 80 * (distinct[i] + distinct[j]):
+                has = [int(x in other) for x in near[i].tolist()]
+                if 100 * max(sum(has[k : k + least]) for k in range(least)) >= 80 * distinct[i]:
+                    want.setdefault(int(i), []).append((-shared, j))
+    texts = [x.tobytes() for x in near]
+    i, j, more = passages.likely_pairs(group, own, live, c, texts, least, 80)
+    assert set(zip(i.tolist(), j.tolist())) == {(a, b) for a, found in want.items() for _, b in found} and len(i) == sum(map(len, want.values())) and not len(more)
+    i, j, more = passages.likely_pairs(group, own, live, c, texts, least, 80, most=1)
+    assert dict(zip(i.tolist(), j.tolist())) == {a: min(found)[1] for a, found in want.items()}
+    assert more.tolist() == sorted(a for a, found in want.items() if len(found) > 1) and len(more)
+
+
 def has_passage(x, y):
     """Whether any run of 50 words of x and any run of 50 to 62 words of y are alike: all pairs of runs, on sets."""
     if len(x) < 46 or len(y) < 46:
