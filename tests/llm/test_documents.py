@@ -218,6 +218,40 @@ def test_likely_pairs():
     assert more.tolist() == sorted(a for a, found in want.items() if len(found) > 1) and len(more)
 
 
+def test_likely_pairs_best_first(monkeypatch):
+    """The best partners of each window are those of all pairs, with few pairs looked at closely where all of a large group are alike."""
+    rng = np.random.default_rng(10)
+    least, near, looked = 12, [], []
+    common = rng.integers(0, 1 << 16, 2 * least - 1)
+    for n in range(700):
+        near.append(np.where(rng.random(2 * least - 1) < (0.01 if n < 400 else 0.2), rng.integers(0, 1 << 16, 2 * least - 1), common).astype(np.uint16).tobytes())
+    group, c = np.repeat([0, 1], [400, 300]), np.full(700, 500)
+    cumsum = np.cumsum
+    monkeypatch.setattr(passages.np, "cumsum", lambda a, *more, **named: (looked.append(len(a)) if np.ndim(a) == 2 else None, cumsum(a, *more, **named))[1])
+    for blocks, sketch in ((1, 1024), (2, 1024), (1, 64)):
+        monkeypatch.setattr(passages, "SKETCH", sketch)
+        own, live = np.arange(700) % blocks, rng.random(700) < 0.9
+        i, j, _ = passages.likely_pairs(group, own, live, c, near, least, 80)
+        counts = np.bincount(i, minlength=700)
+        for most in (1, 3):
+            looked.clear()
+            a, b, more = passages.likely_pairs(group, own, live, c, near, least, 80, most)
+            best = np.arange(len(i)) - np.searchsorted(i, i) < most
+            assert a.tolist() == i[best].tolist() and b.tolist() == j[best].tolist() and more.tolist() == np.flatnonzero(counts > most).tolist()
+            assert len(i) > 50000 // blocks and (sketch < 1024 or sum(looked) < len(i) / 5)
+
+
+def test_numbers_of_shingles():
+    rng = np.random.default_rng(11)
+    numbers = passages._Numbers(50)
+    for _ in range(50):
+        x, y = (rng.integers(0, 50, rng.integers(1, 80)) for _ in range(2))
+        assert numbers.held(x, y).tolist() == [v in set(y.tolist()) for v in x.tolist()] and not numbers.table.any()
+        assert sorted(x[numbers.once(x)].tolist()) == sorted(set(x.tolist())) and numbers.repeats(x) == len(x) - len(set(x.tolist()))
+        reach = int(rng.integers(2, 12))
+        assert max(n - len(set(x[k : k + n].tolist())) for n in range(1, reach + 1) for k in range(max(1, len(x) - n + 1)) if k + n <= len(x)) <= numbers.near_repeats(x, reach)
+
+
 def has_passage(x, y):
     """Whether any run of 50 words of x and any run of 50 to 62 words of y are alike: all pairs of runs, on sets."""
     if len(x) < 46 or len(y) < 46:
