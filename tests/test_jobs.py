@@ -419,3 +419,27 @@ def test_other_dates_in_paths_do_not_matter(spark, tmp_path):
     put(day / "categories.csv" / "2024-05-05" / "a.csv", "category_id,category_name\n1,Grill\n")
     load = lambda: [r.status for r in run_batch(make_run(spark, tmp_path), f"{tmp_path}/2025-01-01/batch", ["categories"]).collect()]
     assert (load(), load()) == (["success"], ["already_processed"])
+
+
+def test_json_files_are_parsed_once(spark, tmp_path, monkeypatch):
+    """A load parses each file once, and bad files beside good ones give no rows but their errors."""
+    from ordergate.sources import json_files
+
+    day = tmp_path / "batch" / DAY / "cities.json"
+    city = lambda i, **more: {"city_id": i, "city_name": f"c{i}", "country": "EG", "timezone": "x", **more}
+    cases = {
+        "good": [city(1), city(1, city_name="again"), {"city_id": 2}], "parts": [{"city_id": 3, "city_name": "c"}, {"city_id": 3, "country": "EG", "timezone": None}],
+        "lacking": [{"city_id": 4, "city_name": "c"}], "broken": '[{"city_id": 5, "city_name": "c", "country": "EG", "timezone": "x"}, {"city_id": 6', "empty": "[]",
+        "blank": " ", "scalar": "5", "unkeyed": [{**city(7), "city_id": None}]}
+    for name, content in cases.items():
+        put(day / f"{name}.json", content)
+    parsed, members = [], json_files._members
+    monkeypatch.setattr(json_files, "_members", lambda spark, paths, spec: (parsed.extend(paths), members(spark, paths, spec))[1])
+    run = make_run(spark, tmp_path)
+    found = {Path(r["_file"]).stem: (r.status, r.rows_loaded, r.error) for r in run_batch(run, f"{tmp_path}/batch", ["cities"]).collect()}
+    assert sorted(Path(p).stem for p in parsed) == sorted(cases)
+    assert found == {
+        "good": ("success", 1, None), "parts": ("success", 1, None), "lacking": ("failed", 0, "Missing required columns: country, timezone"),
+        "broken": ("failed", 0, "Malformed JSON"), "empty": ("skipped", 0, None), "blank": ("failed", 0, "Malformed JSON"), "scalar": ("failed", 0, "Malformed JSON"),
+        "unkeyed": ("skipped", 0, None)}
+    assert {(r.city_id, r.city_name) for r in run.warehouse.read("cities").collect()} == {(1, "c1"), (3, "c")}
